@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from plumbline.plans import catalog_features, catalog_profile, catalog_sources  # noqa: F401
+from plumbline.plans import catalog_features, catalog_metrics, catalog_profile, catalog_sources  # noqa: F401
 from plumbline.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -262,15 +262,15 @@ def correlation_matrix(spark, sf_dir):
 
 @query(
     "A10",
-    f"""WITH {LINES_SQL}, d AS (SELECT quantity, price, price / quantity AS unit, discount FROM lines), r AS (
-    SELECT 'quantity' AS feature_a, 'price' AS feature_b, corr(quantity, price) AS r FROM d UNION ALL SELECT 'quantity', 'unit', corr(quantity, unit) FROM d
-    UNION ALL SELECT 'quantity', 'discount', corr(quantity, discount) FROM d UNION ALL SELECT 'price', 'unit', corr(price, unit) FROM d
-    UNION ALL SELECT 'price', 'discount', corr(price, discount) FROM d UNION ALL SELECT 'unit', 'discount', corr(unit, discount) FROM d)
+    f"""WITH {LINES_SQL}, d AS (SELECT quantity, price, price * (1 + coalesce(tax, 0)) AS charge, discount FROM lines), r AS (
+    SELECT 'quantity' AS feature_a, 'price' AS feature_b, corr(quantity, price) AS r FROM d UNION ALL SELECT 'quantity', 'charge', corr(quantity, charge) FROM d
+    UNION ALL SELECT 'quantity', 'discount', corr(quantity, discount) FROM d UNION ALL SELECT 'price', 'charge', corr(price, charge) FROM d
+    UNION ALL SELECT 'price', 'discount', corr(price, discount) FROM d UNION ALL SELECT 'charge', 'discount', corr(charge, discount) FROM d)
     SELECT feature_a, feature_b, round(r, 3) AS r FROM r WHERE abs(r) > 0.5""",
 )
 def strong_pairs(spark, sf_dir):
-    df = lines(spark, sf_dir).withColumn("unit", F.col("price") / F.col("quantity"))
-    return profile.strong_pairs(df, ["quantity", "price", "unit", "discount"])
+    df = lines(spark, sf_dir).withColumn("charge", F.col("price") * (1 + F.coalesce("tax", F.lit(0.0))))
+    return profile.strong_pairs(df, ["quantity", "price", "charge", "discount"])
 
 
 def _edges_sql(column, source, shares):
@@ -326,9 +326,15 @@ def days_since_previous(spark, sf_dir):
     return out.select("o_orderkey", "o_custkey", F.col("days").cast("double").alias("days"))
 
 
-@query("Q1", "SELECT 1 AS position, 'weight' AS column WHERE (SELECT count(*) FROM lineitem) > 0 UNION ALL SELECT 3, 'colour'")
+@query(
+    "Q1",
+    """SELECT 1 AS position, 'weight' AS column, count(*) AS rows_without FROM lineitem
+    UNION ALL SELECT 3, 'colour', count(*) FROM lineitem""",
+)
 def missing_columns(spark, sf_dir):
-    return quality.missing_columns(lines(spark, sf_dir), ["quantity", "weight", "price", "colour"])
+    df = lines(spark, sf_dir)
+    gone = quality.missing_columns(df, ["quantity", "weight", "price", "colour"])
+    return gone.withColumn("rows_without", df.agg(F.count(F.lit(1))).scalar())
 
 
 @query(
