@@ -282,6 +282,7 @@ def compare_outputs(champion: DataFrame, challenger: DataFrame, row_id: str = S.
     ).withColumn("psi", psi)
 
 
-def traffic_arm(key: Column, challenger_percent: int, buckets: int = 100) -> Column:
-    """champion or challenger by a hash bucket of the key."""
-    return F.when(F.pmod(F.xxhash64(key), F.lit(buckets)) < challenger_percent, "challenger").otherwise("champion")
+def traffic_arm(key: Column, challenger_percent: int) -> Column:
+    """champion or challenger by one of 100 buckets of the key's MD5, which any engine can repeat."""
+    bucket = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % 100
+    return F.when(bucket < challenger_percent, "challenger").otherwise("champion")

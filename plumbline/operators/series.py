@@ -54,7 +54,8 @@ def at_instants(df: DataFrame, range_s: int, step_s: int, ts: str = "ts") -> Dat
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     first, last = f"(__us + {step - 1}) div {step}", f"(__us + {span + step - 1}) div {step} - 1"
     at = df.withColumn("__us", us).where(F.expr(f"{first} <= {last}"))
-    return at.select(*df.columns, (F.explode(F.expr(f"sequence({first}, {last})")) * step_s).alias("t"), "__us")
+    grid = F.expr(f"sequence(({first}) * {step_s}, ({last}) * {step_s}, {step_s})")
+    return at.select(*df.columns, F.explode(grid).alias("t"), "__us")
 
 
 def with_increase(df: DataFrame, by: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
