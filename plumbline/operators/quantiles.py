@@ -1,35 +1,37 @@
 """Exact quantiles by narrowing: no sort, no shuffle of the data, no value map of a whole column.
 
-A sketch proposes two values around the wanted rank, one counting pass proves on which
-side of them the rank lies, and the open interval that is left is narrowed again until it
-holds few rows. Wrong sketches cost passes, never correctness.
+A sketch proposes two values around each wanted rank, one counting pass proves on which side of
+them the rank lies, and the open interval that is left is narrowed again until it holds few rows.
+Three scans answer billions of rows; wrong sketches cost scans, never correctness.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEW_ROWS = 1_000_000
+FEW_ROWS = 50_000
 ACCURACY = 10_000
+MARGIN = 2.0 / ACCURACY
 
 
 @dataclass
-class _Rank:
-    """The value of 0-based rank `rank` among the rows of `column` strictly inside (low, high)."""
+class _Span:
+    """Rows of `column` strictly inside (low, high). `ranks` are 0-based among these `inside` rows,
+    each with the 0-based rank among all rows of the column that it stands for."""
 
     column: str
-    rank: int
     inside: int
+    ranks: dict[int, int]
     low: float | None = None
     high: float | None = None
-    value: float | None = None
+    pivots: list[tuple[float, float, list[int]]] = field(default_factory=list)
 
-    def rows(self):
+    def holds(self) -> Column:
         c = F.col(self.column)
         kept = c.isNotNull()
         if self.low is not None:
@@ -38,53 +40,41 @@ class _Rank:
             kept = kept & (c < F.lit(self.high))
         return kept
 
+    def value(self) -> Column:
+        return F.when(self.holds(), F.col(self.column))
+
 
 def quantiles(
     df: DataFrame, wanted: dict[str, Sequence[float]], few_rows: int = FEW_ROWS
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles {column: [share, ...]} -> {column: [value, ...]}; NULLs are skipped."""
-    columns = list(wanted)
-    if not columns:
+    if not wanted:
         return {}
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    small = [c for c in columns if counts[c] <= few_rows]
-    result: dict[str, list[float | None]] = {}
-    if small:
-        shares = {c: F.array(*[F.lit(float(p)) for p in wanted[c]]) for c in small}
-        row = df.agg(*[F.percentile(c, shares[c]).alias(c) for c in small]).first()
-        for c in small:
-            result[c] = list(row[c]) if row[c] is not None else [None] * len(wanted[c])
-    large = [c for c in columns if c not in small]
-    if large:
-        result.update(_quantiles_by_rank(df, {c: wanted[c] for c in large}, counts, few_rows))
-    return {c: result[c] for c in columns}
-
-
-def _quantiles_by_rank(df, wanted, counts, few_rows):
-    needed = sorted(
-        {(c, r) for c, shares in wanted.items() for p in shares for r in _neighbours(p, counts[c])}
-    )
-    ranks = {(c, r): _Rank(c, r, counts[c]) for c, r in needed}
-    open_ranks = list(ranks.values())
-    while open_ranks:
-        narrow = [r for r in open_ranks if r.inside > few_rows]
-        ready = [r for r in open_ranks if r.inside <= few_rows]
-        if ready:
-            _read_off(df, ready)
-        if narrow:
-            _narrow(df, narrow)
-        open_ranks = [r for r in narrow if r.value is None]
-    result = {}
-    for c, shares in wanted.items():
-        values = []
-        for p in shares:
-            lower, upper = _neighbours(p, counts[c])
-            a, b = ranks[c, lower].value, ranks[c, upper].value
-            at = p * (counts[c] - 1)
-            values.append(a if lower == upper else (upper - at) * a + (at - lower) * b)
-        result[c] = values
-    return result
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    first = df.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(wanted)],
+        *[_sketch(F.col(c), _bounds(p)).alias(f"s{i}") for i, (c, p) in enumerate(wanted.items())],
+    ).first()
+    sizes = {c: first[f"n{i}"] for i, c in enumerate(wanted)}
+    found: dict[tuple[str, int], float] = {}
+    spans = []
+    for i, (c, shares) in enumerate(wanted.items()):
+        if sizes[c] == 0:
+            continue
+        span = _Span(c, sizes[c], {r: r for p in shares for r in _neighbours(p, sizes[c])})
+        cuts = first[f"s{i}"]
+        for k, p in enumerate(shares):
+            span.pivots.append((cuts[2 * k], cuts[2 * k + 1], sorted(set(_neighbours(p, sizes[c])))))
+        spans.append(span)
+    while spans:
+        few = [s for s in spans if s.inside <= few_rows]
+        many = [s for s in spans if s.inside > few_rows]
+        if few:
+            _read_off(df, few, found)
+        spans = _narrow(df, many, found) if many else []
+        if any(s.inside > few_rows for s in spans):
+            _propose(df, [s for s in spans if s.inside > few_rows])
+    return {c: [_interpolate(found, c, p, sizes[c]) for p in shares] for c, shares in wanted.items()}
 
 
 def _neighbours(p: float, n: int) -> tuple[int, int]:
@@ -92,62 +82,84 @@ def _neighbours(p: float, n: int) -> tuple[int, int]:
     return math.floor(at), math.ceil(at)
 
 
-def _read_off(df: DataFrame, ranks: list[_Rank]) -> None:
-    """Ranks whose interval holds few rows: the discrete percentile that falls on the rank."""
-    inner = df.select(*[F.when(r.rows(), F.col(r.column)).alias(f"x{i}") for i, r in enumerate(ranks)])
-    picked = inner.agg(
-        *[
-            F.expr(f"percentile_disc({(r.rank + 0.5) / r.inside!r}D) WITHIN GROUP (ORDER BY x{i})").alias(f"v{i}")
-            for i, r in enumerate(ranks)
-        ]
+def _interpolate(found, column: str, p: float, n: int) -> float | None:
+    if n == 0:
+        return None
+    lower, upper = _neighbours(p, n)
+    a, b = found[column, lower], found[column, upper]
+    return a + (b - a) * (p * (n - 1) - lower)
+
+
+def _bounds(shares: Sequence[float]) -> list[float]:
+    return [min(1.0, max(0.0, p + side)) for p in shares for side in (-MARGIN, MARGIN)]
+
+
+def _sketch(value: Column, shares: Sequence[float]) -> Column:
+    return F.percentile_approx(value, F.array(*[F.lit(float(p)) for p in shares]), ACCURACY)
+
+
+def _propose(df: DataFrame, spans: list[_Span]) -> None:
+    """Pivots around every rank of each span, from one sketch per span."""
+    ranks = [sorted(s.ranks) for s in spans]
+    sketches = df.agg(
+        *[_sketch(s.value(), _bounds([r / s.inside for r in rs])).alias(f"s{i}") for i, (s, rs) in enumerate(zip(spans, ranks))]
     ).first()
-    for i, r in enumerate(ranks):
-        r.value = picked[f"v{i}"]
-
-
-def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
-    margin = 2.0 / ACCURACY
-    sketch = df.agg(
-        *[
-            F.percentile_approx(
-                F.when(r.rows(), F.col(r.column)),
-                F.array(
-                    F.lit(max(0.0, r.rank / r.inside - margin)), F.lit(min(1.0, r.rank / r.inside + margin))
-                ),
-                ACCURACY,
-            ).alias(f"s{i}")
-            for i, r in enumerate(ranks)
+    for i, (s, rs) in enumerate(zip(spans, ranks)):
+        cuts = sketches[f"s{i}"]
+        s.pivots = [(cuts[2 * k], cuts[2 * k + 1], [r]) for k, r in enumerate(rs)]
+
+
+def _narrow(df: DataFrame, spans: list[_Span], found) -> list[_Span]:
+    """Count around the pivots: a rank falls on a pivot (done) or into a smaller span."""
+    tasks = [(s, a, b, rs) for s in spans for a, b, rs in s.pivots]
+
+    def counts(s: _Span, a: float, b: float) -> list[Column]:
+        c, inside = F.col(s.column), s.holds()
+        return [
+            F.count_if(inside & (c < a)),
+            F.count_if(inside & (c == a)),
+            F.count_if(inside & (c > a) & (c < b)),
+            F.count_if(inside & (c == b)) if a != b else F.lit(0).cast("bigint"),
         ]
-    ).first()
-    pivots = [sketch[f"s{i}"] for i in range(len(ranks))]
-    counted = df.agg(
-        *[
-            F.struct(
-                F.count_if(r.rows() & (F.col(r.column) < a)).alias("under"),
-                F.count_if(r.rows() & (F.col(r.column) == a)).alias("at_a"),
-                F.count_if(r.rows() & (F.col(r.column) > a) & (F.col(r.column) < b)).alias("between"),
-                F.count_if(r.rows() & (F.col(r.column) == b) & F.lit(a != b)).alias("at_b"),
-            ).alias(f"c{i}")
-            for i, (r, (a, b)) in enumerate(zip(ranks, pivots))
+
+    row = df.agg(*[x.alias(f"c{i}_{k}") for i, (s, a, b, _) in enumerate(tasks) for k, x in enumerate(counts(s, a, b))]).first()
+    smaller: dict[tuple, _Span] = {}
+    for i, (s, a, b, ranks) in enumerate(tasks):
+        under, at_a, between, at_b = (row[f"c{i}_{k}"] for k in range(4))
+        parts = [
+            (under, s.low, a, None),
+            (at_a, None, None, a),
+            (between, a, b, None),
+            (at_b, None, None, b),
+            (s.inside - under - at_a - between - at_b, b, s.high, None),
         ]
-    ).first()
-    for i, (r, (a, b)) in enumerate(zip(ranks, pivots)):
-        n = counted[f"c{i}"]
-        rank = r.rank
-        if rank < n.under:
-            r.high, r.inside = a, n.under
-            continue
-        rank -= n.under
-        if rank < n.at_a:
-            r.value = a
-            continue
-        rank -= n.at_a
-        if rank < n.between:
-            r.low, r.high, r.rank, r.inside = a, b, rank, n.between
-            continue
-        rank -= n.between
-        if rank < n.at_b:
-            r.value = b
-            continue
-        r.low, r.rank = b, rank - n.at_b
-        r.inside -= n.under + n.at_a + n.between + n.at_b
+        for rank in ranks:
+            original = s.ranks[rank]
+            for size, low, high, value in parts:
+                if rank >= size:
+                    rank -= size
+                    continue
+                if value is not None:
+                    found[s.column, original] = value
+                else:
+                    span = smaller.setdefault((s.column, low, high), _Span(s.column, size, {}, low, high))
+                    span.ranks[rank] = original
+                break
+    return list(smaller.values())
+
+
+def _read_off(df: DataFrame, spans: list[_Span], found) -> None:
+    """Spans with few rows: the discrete percentiles that fall on the ranks."""
+    kept = spans[0].holds()
+    for s in spans[1:]:
+        kept = kept | s.holds()
+    values = df.where(kept).select(*[s.value().alias(f"x{i}") for i, s in enumerate(spans)])
+    ranks = [sorted(s.ranks) for s in spans]
+    picks = []
+    for i, (s, rs) in enumerate(zip(spans, ranks)):
+        shares = ", ".join(f"{(r + 0.5) / s.inside!r}D" for r in rs)
+        picks.append(F.expr(f"percentile_disc(array({shares})) WITHIN GROUP (ORDER BY x{i})").alias(f"v{i}"))
+    row = values.agg(*picks).first()
+    for i, (s, rs) in enumerate(zip(spans, ranks)):
+        for r, v in zip(rs, row[f"v{i}"]):
+            found[s.column, s.ranks[r]] = v
