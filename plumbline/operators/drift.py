@@ -78,8 +78,8 @@ def ks_test(gaps: DataFrame) -> DataFrame:
     term = lambda k: F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * x * x)
     series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda total, k: total + term(k))
     p = F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
-    return out.select(
-        "feature", F.round("statistic", 6).alias("statistic"), F.round(p, 6).alias("p_value"), "n_ref", "n_cur"
+    return out.withColumn("p_value", F.round(p, 6)).select(
+        "feature", F.round("statistic", 6).alias("statistic"), "p_value", "n_ref", "n_cur"
     )
 
 

@@ -38,6 +38,13 @@ def weight_column(label: str, weights: dict[int, float]) -> Column:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, spread over all cores for iterative fitting.
+    Larger scans stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features_vec").transform(df)
 
@@ -174,14 +181,17 @@ def cross_validate(
     seed: int = SEED, parallelism: int = 4, **params,
 ) -> DataFrame:
     """Stratified k-fold AUC: mean and population deviation over folds. Fits run side by side."""
-    folds = stratified_folds(df, label, keys, k, seed)
+    folds = stratified_folds(df, label, keys, k, seed).select(*features, label, "fold").persist()
 
     def one(i: int) -> float:
         model = FITTERS[kind](folds.where(F.col("fold") != i), features, label, **params)
         return evaluate(folds.where(F.col("fold") == i), model, features, label).first().auc
 
-    with ThreadPool(min(parallelism, k)) as pool:
-        aucs = pool.map(one, range(k))
+    try:
+        with ThreadPool(min(parallelism, k)) as pool:
+            aucs = pool.map(one, range(k))
+    finally:
+        folds.unpersist()
     mean = sum(aucs) / k
     spread = math.sqrt(sum((a - mean) ** 2 for a in aucs) / k)
     return df.sparkSession.createDataFrame(
@@ -196,13 +206,18 @@ def search(
     """Seeded random search for the highest validation AUC: (one row per trial, best parameters)."""
     rng = random.Random(seed)
     drawn = [draw(space or SPACES[kind], rng) for _ in range(trials)]
+    train, val = (df.select(*features, label).persist() for df in (train, val))
 
     def one(i: int) -> tuple[int, float, float]:
         row = evaluate(val, FITTERS[kind](train, features, label, **drawn[i]), features, label).first()
         return i, row.auc, row.ks
 
-    with ThreadPool(min(parallelism, trials)) as pool:
-        results = pool.map(one, range(trials))
+    try:
+        with ThreadPool(min(parallelism, trials)) as pool:
+            results = pool.map(one, range(trials))
+    finally:
+        train.unpersist()
+        val.unpersist()
     best = max(results, key=lambda r: (r[1], -r[0]))
     rows = [(kind, i, auc, ks, {k: float(v) for k, v in drawn[i].items()}, i == best[0]) for i, auc, ks in results]
     frame = train.sparkSession.createDataFrame(

@@ -57,6 +57,21 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name)
 
 
+KEY = "__key"
+
+
+def _keyed(df: DataFrame, by: Sequence[str], part: str) -> DataFrame:
+    """Key columns as one struct, which matches itself when fields are NULL and is never NULL itself:
+    no row is lost in the join below and both sides read the same shuffled input."""
+    key = F.struct(*by) if by else F.lit(0)
+    rest = [c for c in df.columns if c not in {*by, part}]
+    return df.select(key.alias(KEY), F.coalesce(F.col(part), F.lit(0)).alias(part), *rest)
+
+
+def _key_columns(by: Sequence[str]) -> list[Column]:
+    return [F.col(KEY)[c].alias(c) for c in by]
+
+
 def running_sums(
     df: DataFrame,
     by: Sequence[str],
@@ -72,82 +87,75 @@ def running_sums(
     `totals` (new name -> column) adds whole-key totals. All sums of counts stay exact.
     """
     totals = totals or {}
-    by = list(by)
+    rows = _keyed(df, by, part)
     columns = sorted(set(sums.values()) | set(totals.values()))
-    per_slice = df.groupBy(*by, part).agg(*[F.sum(c).alias(f"__s_{c}") for c in columns])
+    per_slice = rows.groupBy(KEY, part).agg(*[F.sum(c).alias(f"__s_{c}") for c in columns])
     slice_order = F.col(part).desc() if descending_parts else F.col(part).asc()
-    before = Window.partitionBy(*by).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
+    before = Window.partitionBy(KEY).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(KEY)
     offsets = per_slice.select(
-        *by,
+        KEY,
         part,
         *[F.coalesce(F.sum(f"__s_{c}").over(before), F.lit(0)).alias(f"__o_{n}") for n, c in sums.items()],
         *[F.sum(f"__s_{c}").over(whole).alias(n) for n, c in totals.items()],
     )
-    inside = Window.partitionBy(*by, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = df.select("*", *[F.sum(c).over(inside).alias(f"__r_{n}") for n, c in sums.items()])
-    keep = [c for c in df.columns if c not in {*by, part}]
-    return running.join(offsets, [*by, part]).select(
-        *by,
-        part,
-        *keep,
+    inside = Window.partitionBy(KEY, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    running = rows.select("*", *[F.sum(c).over(inside).alias(f"__r_{n}") for n, c in sums.items()])
+    return running.join(offsets, [KEY, part]).select(
+        *_key_columns(by),
+        *[c for c in df.columns if c not in by],
         *[(F.col(f"__r_{n}") + F.col(f"__o_{n}")).alias(n) for n in sums],
         *totals,
     )
 
 
-def previous_row(
-    df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], fields: Sequence[str], name: str = "prev"
-) -> DataFrame:
-    """Adds struct `name` with `fields` of the row before, per `by` in `order`, across slices."""
-    by = list(by)
+def _with_neighbour(df, by, part, order, fields, name, forward: bool) -> DataFrame:
+    rows = _keyed(df, by, part)
     value = F.struct(*[F.col(f) for f in fields])
-    tails = df.groupBy(*by, part).agg(F.max_by(value, F.struct(*order)).alias("__tail"))
-    carried = tails.select(
-        *by, part, F.lag("__tail").over(Window.partitionBy(*by).orderBy(part)).alias("__carry")
-    )
-    inside = Window.partitionBy(*by, part).orderBy(*order)
+    edge = F.min_by if forward else F.max_by
+    move = F.lead if forward else F.lag
+    edges = rows.groupBy(KEY, part).agg(edge(value, F.struct(*order)).alias("__edge"))
+    across = Window.partitionBy(KEY).orderBy(part)
+    carried = edges.select(KEY, part, move("__edge").over(across).alias("__carry"))
+    inside = Window.partitionBy(KEY, part).orderBy(*order)
     return (
-        df.withColumn("__lag", F.lag(value).over(inside))
-        .join(carried, [*by, part], "left")
-        .withColumn(name, F.coalesce("__lag", "__carry"))
-        .drop("__lag", "__carry")
+        rows.withColumn("__near", move(value).over(inside))
+        .join(carried, [KEY, part])
+        .select(
+            *_key_columns(by), *[c for c in df.columns if c not in by], F.coalesce("__near", "__carry").alias(name)
+        )
     )
 
 
+def previous_row(
+    df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], fields: Sequence[str], name: str = "prev"
+) -> DataFrame:
+    """Adds struct `name` with `fields` of the row before, per `by` in `order`, across slices.
+
+    `order` must be unique within a key."""
+    return _with_neighbour(df, by, part, order, fields, name, forward=False)
+
+
 def next_row(
     df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], fields: Sequence[str], name: str = "next"
 ) -> DataFrame:
     """Adds struct `name` with `fields` of the following row, per `by` in `order`, across slices."""
-    by = list(by)
-    value = F.struct(*[F.col(f) for f in fields])
-    heads = df.groupBy(*by, part).agg(F.min_by(value, F.struct(*order)).alias("__head"))
-    carried = heads.select(
-        *by, part, F.lead("__head").over(Window.partitionBy(*by).orderBy(part)).alias("__carry")
-    )
-    inside = Window.partitionBy(*by, part).orderBy(*order)
-    return (
-        df.withColumn("__lead", F.lead(value).over(inside))
-        .join(carried, [*by, part], "left")
-        .withColumn(name, F.coalesce("__lead", "__carry"))
-        .drop("__lead", "__carry")
-    )
+    return _with_neighbour(df, by, part, order, fields, name, forward=True)
 
 
 def last_known(
     df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """Adds `name`: the latest non-NULL `value` at or before each row, per `by`, across slices."""
-    by = list(by)
-    tails = df.groupBy(*by, part).agg(
+    rows = _keyed(df, by, part)
+    tails = rows.groupBy(KEY, part).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__tail")
     )
-    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(*by, part, F.last("__tail", ignorenulls=True).over(earlier).alias("__carry"))
-    inside = Window.partitionBy(*by, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(KEY).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(KEY, part, F.last("__tail", ignorenulls=True).over(earlier).alias("__carry"))
+    inside = Window.partitionBy(KEY, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        df.withColumn("__seen", F.last(value, ignorenulls=True).over(inside))
-        .join(carried, [*by, part], "left")
-        .withColumn(name, F.coalesce("__seen", "__carry"))
-        .drop("__seen", "__carry")
+        rows.withColumn("__seen", F.last(value, ignorenulls=True).over(inside))
+        .join(carried, [KEY, part])
+        .select(*_key_columns(by), *[c for c in df.columns if c not in by], F.coalesce("__seen", "__carry").alias(name))
     )

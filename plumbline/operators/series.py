@@ -58,22 +58,34 @@ def at_instants(df: DataFrame, range_s: int, step_s: int, ts: str = "ts") -> Dat
     return at.select(*df.columns, F.explode(grid).alias("t"), "__us")
 
 
-def with_increase(df: DataFrame, by: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """Adds `increase` since the previous sample of the series; after a reset the whole value counts."""
-    sliced = df.withColumn(SLICE, order_slices(df, ts))
+def with_increase(
+    df: DataFrame, by: Sequence[str], ts: str = "ts", value: str = "value", times: DataFrame | None = None
+) -> DataFrame:
+    """Adds `increase` since the previous sample of the series; after a reset the whole value counts.
+
+    Slice bounds come from column `ts` of `times`, a frame that is cheap to read and spreads over
+    time like df (default: df itself).
+    """
+    sliced = df.withColumn(SLICE, order_slices(df if times is None else times, ts))
     out = previous_row(sliced, by, SLICE, [ts], [value])
     before, now = F.col(f"prev.{value}"), F.col(value)
     return out.withColumn("increase", F.when(now < before, now).otherwise(now - before)).drop(SLICE, "prev")
 
 
 def rate(
-    df: DataFrame, by: Sequence[str], range_s: int, step_s: int, ts: str = "ts", value: str = "value"
+    df: DataFrame,
+    by: Sequence[str],
+    range_s: int,
+    step_s: int,
+    ts: str = "ts",
+    value: str = "value",
+    times: DataFrame | None = None,
 ) -> DataFrame:
     """Per-second increase per series and instant, over the span between its first and last sample.
 
     At least two samples are needed. No extrapolation to the edges of the range.
     """
-    inside = at_instants(with_increase(df, by, ts, value), range_s, step_s, ts)
+    inside = at_instants(with_increase(df, by, ts, value, times), range_s, step_s, ts)
     out = inside.groupBy(*by, "t").agg(
         F.count(F.lit(1)).alias("samples"),
         (F.sum("increase") - F.coalesce(F.min_by("increase", "__us"), F.lit(0.0))).alias("__up"),

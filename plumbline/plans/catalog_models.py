@@ -14,13 +14,13 @@ FEATURES_USED = NUMBERS
 
 
 def train_and_rest(spark, sf_dir):
-    df = split_lines(spark, sf_dir)
+    df = split_lines(spark, sf_dir, model.spread)
     return df.where(F.col("split") == "train"), df.where(F.col("split") != "train")
 
 
 def matrices(spark, sf_dir):
     """Standardised splits with row id, label and split name."""
-    df = split_lines(spark, sf_dir).withColumn(S.ROW_ID, F.xxhash64(*LINE_KEY))
+    df = split_lines(spark, sf_dir, model.spread).withColumn(S.ROW_ID, F.xxhash64(*LINE_KEY))
     fitted = prep.fit(df.where(F.col("split") == "train"), NUMBERS)
     return fitted.transform(df, [S.ROW_ID, "y", "split"])
 

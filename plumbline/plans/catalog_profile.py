@@ -30,9 +30,9 @@ sized AS (SELECT *, floor(n * 0.3 + 0.5) AS held, floor(floor(n * 0.3 + 0.5) * 0
 splits AS (SELECT *, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - tested THEN 'val' ELSE 'test' END AS split FROM sized)"""
 
 
-def split_lines(spark, sf_dir):
+def split_lines(spark, sf_dir, arrange=lambda df: df):
     order = split.arithmetic_order(LINE_ORDER)
-    return split.stratified_split(lines(spark, sf_dir), "y", LINE_KEY, order=order)
+    return split.stratified_split(arrange(lines(spark, sf_dir)), "y", LINE_KEY, order=order)
 
 
 @query("F1", f"WITH {SPLIT_SQL} SELECT {KEY}, y, split FROM splits")

@@ -49,7 +49,7 @@ rates AS (SELECT type, shard, t, (sum(up) - arg_min(up, us)) * 1e6 / (max(us) -
 
 
 def rates(spark, sf_dir):
-    return series.rate(counter(spark, sf_dir), BY, 12 * HOUR, 6 * HOUR)
+    return series.rate(counter(spark, sf_dir), BY, 12 * HOUR, 6 * HOUR, times=events(spark, sf_dir))
 
 
 def rounded(df, *names):

@@ -77,3 +77,20 @@ def test_last_known(rows):
     w = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.withColumn("known", F.last("value", ignorenulls=True).over(w))
     assert collect(got.select("key", "at", "known")) == collect(want.select("key", "at", "known"))
+
+
+def test_null_keys_are_a_key(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 2), ("a", 1, 5)], "k string, at int, n int")
+    got = ordered.running_sums(df.withColumn(ordered.SLICE, F.col("at")), ["k"], ordered.SLICE, [F.col("at")], {"run": "n"})
+    assert collect(got.select("k", "at", "run")) == collect(
+        spark.createDataFrame([(None, 1, 1), (None, 2, 3), ("a", 1, 5)], "k string, at int, run bigint")
+    )
+
+
+def test_running_sums_read_their_input_once(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    counts = events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn(ordered.SLICE, F.floor(F.col("user_id") / 3))
+    out = ordered.running_sums(counts, ["event_type"], ordered.SLICE, [F.col("user_id")], {"run": "n"}, {"all": "n"})
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
