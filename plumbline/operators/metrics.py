@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordered import literal_array, position_in, running_sums
+from plumbline.operators.ordered import literal_array, running_sums, steps_passed
 from plumbline.operators.profile import quantile_bin
 from plumbline.operators.quantiles import quantiles
 
@@ -149,7 +149,7 @@ def threshold_sweep(
     Each score is mapped to its grid step first, so at most 201 rows per group are summed.
     """
     points = grid()
-    step = position_in(F.col("score"), literal_array(points), len(points))
+    step = steps_passed(F.col("score"), points)
     steps = (
         score_histogram(df, label, score, by)
         .groupBy(*by, step.alias("step"))
@@ -209,15 +209,15 @@ def f1_optimal(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
+def calibration(df: DataFrame, label: str, score: str, bins: int = 10, digits: int = 6) -> DataFrame:
     """Mean score against observed rate per quantile bin of the score; empty bins do not occur."""
     edges = sorted(set(quantiles(df, {score: [i / bins for i in range(bins + 1)]})[score]))
     return (
         df.groupBy(quantile_bin(F.col(score), edges).alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.round(F.avg(score), 6).alias("mean_predicted"),
-            F.round(F.avg(F.col(label).cast("double")), 6).alias("observed_rate"),
+            F.round(F.avg(score), digits).alias("mean_predicted"),
+            F.round(F.avg(F.col(label).cast("double")), digits).alias("observed_rate"),
         )
     )
 
@@ -255,9 +255,9 @@ def promotion_gate(report: DataFrame, minimum: float = MIN_TEST_AUC, fail: bool
     return report.withColumn("auc_threshold", F.lit(minimum)).withColumn("passes_threshold", ok)
 
 
-def brier(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def brier(df: DataFrame, label: str, score: str, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
     error = F.col(score) - F.col(label).cast("double")
-    return df.groupBy(*by).agg(F.round(F.avg(error * error), 6).alias("brier"))
+    return df.groupBy(*by).agg(F.round(F.avg(error * error), digits).alias("brier"))
 
 
 def cohort_quality(

@@ -19,6 +19,7 @@ from plumbline import schema as S
 from plumbline.functions import columns as C
 from plumbline.operators import drift, metrics
 from plumbline.operators.split import stratified_folds
+from plumbline.session import small_rows
 
 POSITIVE_WEIGHT = 13.9  # fixed value
 SEED = 42
@@ -38,13 +39,6 @@ def weight_column(label: str, weights: dict[int, float]) -> Column:
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores, spread over all cores for iterative fitting.
-    Larger scans stay as they are, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features_vec").transform(df)
 
@@ -257,6 +251,9 @@ def permutation_importance(
     sample: DataFrame, model: Model, features: Sequence[str], label: str, row_id: str, seed: int = SEED
 ) -> DataFrame:
     """Loss of AUC when one column is shuffled, over a bounded sample (see sample_n), in one scoring job."""
+    sample = small_rows(sample.select(row_id, label, *features))
+    if sample is None:
+        raise ValueError("permutation importance is defined on a bounded sample: use sample_n first")
     place = F.row_number().over(Window.orderBy(row_id))
     base = sample.select(place.alias("__i"), label, *[F.col(f).cast("double").alias(f) for f in features])
     melted = base.select(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
-MAX_SLICES = 4096
+MAX_SLICES = 16_384
 
 
 def position_in(value: Column, edges: Column, size: int) -> Column:
@@ -32,6 +32,21 @@ def position_in(value: Column, edges: Column, size: int) -> Column:
     )
 
 
+def steps_passed(value: Column, edges: Sequence[float], strict: bool = False) -> Column:
+    """How many of a few ascending constant edges are <= value (< value when strict): a balanced
+    tree of comparisons, compiled with the rest of the stage. `value` should be a plain column."""
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        edge = F.lit(edges[middle])
+        beyond = value > edge if strict else value >= edge
+        return F.when(beyond, tree(middle + 1, high)).otherwise(tree(low, middle))
+
+    return tree(0, len(edges))
+
+
 def literal_array(values: Sequence) -> Column:
     return F.array(*[F.lit(v) for v in values])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
-from plumbline.operators.ordered import literal_array, position_in
+from plumbline.operators.ordered import steps_passed
 from plumbline.operators.quantiles import quantiles
 
 
@@ -183,13 +183,7 @@ def strong_pairs(df: DataFrame, features: Sequence[str], above: float = 0.5) ->
 
 def quantile_bin(column: Column, edges: Sequence[float]) -> Column:
     """0-based right-closed bin among distinct ascending edges; the lowest edge belongs to bin 0."""
-    inner = list(edges)[1:-1]
-    if not inner:
-        return F.when(column.isNotNull(), F.lit(0))
-    # right-closed: the number of inner edges strictly below the value, found on negated edges
-    negated = [-e for e in reversed(inner)]
-    at_or_above = position_in(-column, literal_array(negated), len(negated))
-    return F.when(column.isNotNull(), F.lit(len(inner)) - at_or_above)
+    return F.when(column.isNotNull(), steps_passed(column, list(edges)[1:-1], strict=True))
 
 
 def rate_by_quantile(df: DataFrame, column: str, label: str, bins: int = 10, clip_share: float | None = 0.99) -> DataFrame:

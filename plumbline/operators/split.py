@@ -31,37 +31,37 @@ def arithmetic_order(terms: dict[str, int], modulus: int = 1_000_003) -> tuple[C
     return F.pmod(total, F.lit(modulus).cast("bigint")), modulus
 
 
-def _cuts(df: DataFrame, by: Sequence[str], keys: Sequence[str], order: tuple[Column, int], counts: dict[str, Column]):
-    """Per class the (order, key) struct of the row at each 1-based rank in `counts` (functions of __n).
-
-    A rank of 0 gives NULL.
+def _cuts(df: DataFrame, by: Column, keys: Sequence[str], order: tuple[Column, int], counts: dict[str, Column]):
+    """Per class (struct column __class) the (order, key) struct of the row at each 1-based rank in
+    `counts`, columns that are functions of the class size __n. A rank of 0 gives NULL.
     """
     h, modulus = order
     width = -(-modulus // SLICES)
-    narrow = df.select(*by, h.alias("__h"), *keys).withColumn("__slice", F.expr(f"__h div {width}"))
-    sizes = narrow.groupBy(*by, "__slice").agg(F.count(F.lit(1)).alias("__c"))
-    so_far = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)
+    narrow = df.select(by.alias("__class"), h.alias("__h"), *keys).withColumn("__slice", F.expr(f"__h div {width}"))
+    sizes = narrow.groupBy("__class", "__slice").agg(F.count(F.lit(1)).alias("__c"))
+    so_far = Window.partitionBy("__class").orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)
     sizes = sizes.select(
-        *by,
+        "__class",
         "__slice",
         (F.sum("__c").over(so_far) - F.col("__c")).alias("__before"),
         F.sum("__c").over(so_far).alias("__upto"),
-        F.sum("__c").over(Window.partitionBy(*by)).alias("__n"),
+        F.sum("__c").over(Window.partitionBy("__class")).alias("__n"),
     )
-    wanted = sizes.select(
-        "*", F.explode(F.array(*[F.struct(F.lit(n).alias("cut"), c.alias("rank")) for n, c in counts.items()])).alias("__w")
-    ).select(*by, "__slice", "__before", "__upto", "__w.cut", "__w.rank")
-    hit = wanted.where((F.col("rank") > F.col("__before")) & (F.col("rank") <= F.col("__upto")))
-    edge_rows = narrow.join(small_side(hit), [*by, "__slice"])
-    ranked = edge_rows.withColumn(
-        "__at",
-        F.col("__before")
-        + F.row_number().over(Window.partitionBy(*by, "__slice", "cut").orderBy("__h", *keys)),
-    ).where(F.col("__at") == F.col("rank"))
-    return (
-        ranked.groupBy(*by)
-        .pivot("cut", list(counts))
-        .agg(F.first(F.struct("__h", *keys)))
+    wanted = F.array(*[F.struct(F.lit(n).alias("cut"), c.alias("rank")) for n, c in counts.items()])
+    ranks = sizes.select("__class", "__slice", "__before", "__upto", F.inline(wanted))
+    hit = ranks.where((F.col("rank") > F.col("__before")) & (F.col("rank") <= F.col("__upto")))
+    edge_rows = narrow.join(small_side(hit), ["__class", "__slice"])
+    place = Window.partitionBy("__class", "__slice", "cut").orderBy("__h", *keys)
+    ranked = edge_rows.withColumn("__at", F.col("__before") + F.row_number().over(place))
+    ranked = ranked.where(F.col("__at") == F.col("rank"))
+    return ranked.groupBy("__class").pivot("cut", list(counts)).agg(F.first(F.struct("__h", *keys)))
+
+
+def _with_cuts(df, by, keys, order, counts) -> DataFrame:
+    """df with the cut structs of its class, and its own place `__row` to compare with them."""
+    cuts = small_side(_cuts(df, by, keys, order, counts))
+    return df.withColumn("__class", by).withColumn("__row", F.struct(order[0].alias("__h"), *keys)).join(
+        cuts, "__class", "left"
     )
 
 
@@ -81,9 +81,7 @@ def stratified_split(
     n = F.col("__n")
     held = F.floor(n * F.lit(holdout) + 0.5)
     tested = F.floor(held * F.lit(test_share) + 0.5)
-    cuts = _cuts(df, [label], keys, order, {"__train_end": n - held, "__val_end": n - tested})
-    row = F.struct(order[0].alias("__h"), *keys)
-    joined = df.withColumn("__row", row).join(small_side(cuts), label, "left")
+    joined = _with_cuts(df, F.struct(label), keys, order, {"__train_end": n - held, "__val_end": n - tested})
     before = lambda c: F.col(c).isNotNull() & (F.col("__row") <= F.col(c))
     split = F.when(before("__train_end"), "train").when(before("__val_end"), "val").otherwise("test")
     return joined.select(*df.columns, split.alias(name))
@@ -97,10 +95,7 @@ def sample_n(
     keys = list(keys or df.columns)
     if n <= 20_000:
         return df.orderBy(order[0], *keys).limit(n)
-    tagged = df.withColumn("__all", F.lit(0))
-    cut = _cuts(tagged, ["__all"], keys, order, {"__end": F.least(F.col("__n"), F.lit(n))})
-    row = F.struct(order[0].alias("__h"), *keys)
-    joined = tagged.withColumn("__row", row).join(F.broadcast(cut), "__all")
+    joined = _with_cuts(df, F.lit(0), keys, order, {"__end": F.least(F.col("__n"), F.lit(n))})
     return joined.where(F.col("__row") <= F.col("__end")).select(*df.columns)
 
 
@@ -117,9 +112,7 @@ def stratified_folds(
     order = order or hash_order(keys, seed)
     n = F.col("__n")
     ends = {f"__e{i}": F.floor(n / k) * i + F.least(F.lit(i).cast("bigint"), n % k) for i in range(1, k)}
-    cuts = _cuts(df, [label], keys, order, ends)
-    row = F.struct(order[0].alias("__h"), *keys)
-    joined = df.withColumn("__row", row).join(small_side(cuts), label, "left")
+    joined = _with_cuts(df, F.struct(label), keys, order, ends)
     fold = None
     for i in range(1, k):
         inside = F.col(f"__e{i}").isNotNull() & (F.col("__row") <= F.col(f"__e{i}"))

@@ -158,10 +158,10 @@ EDGES = ", ".join(f"quantile_cont(p, {t})" for t in TENTHS)
     "M11",
     f"""WITH {SCORED_SQL}, e AS (SELECT list_sort(list_distinct([{EDGES}])) AS e FROM scored),
     b AS (SELECT p, y, len(list_filter(e[2:len(e) - 1], lambda x: x < p))::int AS bin FROM scored, e)
-    SELECT bin, count(*) AS rows, round(avg(p), 6) AS mean_predicted, round(avg(y), 6) AS observed_rate FROM b GROUP BY 1""",
+    SELECT bin, count(*) AS rows, round(avg(p), 4) AS mean_predicted, round(avg(y), 4) AS observed_rate FROM b GROUP BY 1""",
 )
 def calibration(spark, sf_dir):
-    return metrics.calibration(scored(spark, sf_dir), "y", "p")
+    return metrics.calibration(scored(spark, sf_dir), "y", "p", digits=4)
 
 
 BUNDLE_SQL = f"""{MODELS_SQL}, {curve_sql('models', ['model', 'split'], 'q')},
@@ -213,9 +213,9 @@ def promotion_gate(spark, sf_dir):
     return metrics.promotion_gate(report, 0.5)
 
 
-@query("M17", f"WITH {MODELS_SQL} SELECT model, split, round(avg((q - y) * (q - y)), 6) AS brier FROM models GROUP BY 1, 2")
+@query("M17", f"WITH {MODELS_SQL} SELECT model, split, round(avg((q - y) * (q - y)), 4) AS brier FROM models GROUP BY 1, 2")
 def brier_score(spark, sf_dir):
-    return metrics.brier(models(spark, sf_dir), "y", "q", ["model", "split"])
+    return metrics.brier(models(spark, sf_dir), "y", "q", ["model", "split"], digits=4)
 
 
 COHORT_SOURCE = """line_scores AS (SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS cohort, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,

@@ -60,13 +60,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """df computed once and broadcast when it holds at most max_rows rows, else df as it is.
+def small_rows(df: DataFrame, max_rows: int = 100_000) -> DataFrame | None:
+    """df computed once as a local table, or None when it holds more than max_rows rows.
 
     Reads at most max_rows + 1 rows to the driver, so use it for parameter tables
     (cuts, bounds, class sizes), whose size does not follow the data.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return None if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """df for a broadcast after its size was checked; df as it is when it is larger."""
+    small = small_rows(df, max_rows)
+    return df if small is None else F.broadcast(small)
