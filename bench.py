@@ -37,7 +37,7 @@ HEADLINE = [
     "wasserstein_drift",
     "counter_rate",
     "alert_states",
-    "log_pipeline",
+    "shipped_logs",
     "count_over_time",
     "line_rate",
     "point_in_time",

@@ -83,17 +83,20 @@ def ks_test(gaps: DataFrame) -> DataFrame:
     )
 
 
-def wasserstein(gaps: DataFrame) -> DataFrame:
-    """Area between the two distribution functions divided by the reference deviation (floored)."""
+def wasserstein(gaps: DataFrame, reference: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Area between the two distribution functions, and the same over the reference deviation (floored)."""
     following = next_row(gaps, ["feature"], "__slice", ["value"], ["value"])
     width = F.col("next.value") - F.col("value")
     area = following.groupBy("feature").agg(
-        F.coalesce(F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * width), F.lit(0.0)).alias("area"),
-        (F.sum(F.col("ref") * F.col("value")) / F.first("n_ref")).alias("__mean"),
-        (F.sum(F.col("ref") * F.col("value") * F.col("value")) / F.first("n_ref")).alias("__square"),
+        F.coalesce(F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * width), F.lit(0.0)).alias("area")
     )
-    spread = F.greatest(F.sqrt(F.greatest(F.col("__square") - F.col("__mean") ** 2, F.lit(0.0))), F.lit(1e-3))
-    return area.select("feature", F.round("area", 6).alias("distance"), F.round(F.col("area") / spread, 6).alias("normed"))
+    spread = reference.agg(*[F.stddev_pop(F.col(f).cast("double")).alias(f) for f in features]).select(
+        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("__spread")) for f in features]))
+    )
+    # one row per feature named by the caller
+    joined = area.join(F.broadcast(spread), "feature")
+    normed = F.col("area") / F.greatest(F.col("__spread"), F.lit(1e-3))
+    return joined.select("feature", F.round("area", 6).alias("distance"), F.round(normed, 6).alias("normed"))
 
 
 def category_counts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -27,8 +27,9 @@ def point_in_time(
     takes over the last row of the slices before it. Equal (entity, time) keys are reduced first.
     """
     row = F.struct(F.col(feature_ts).alias("__at"), *values)
-    newest = features.groupBy(entity, F.col(feature_ts).alias("__ts")).agg(F.max(row).alias("__row"))
-    asked = spine.select(entity, F.col(spine_ts).alias("__ts")).distinct()
+    known_entity = F.col(entity).isNotNull()  # nothing matches a missing entity
+    newest = features.where(known_entity).groupBy(entity, F.col(feature_ts).alias("__ts")).agg(F.max(row).alias("__row"))
+    asked = spine.where(known_entity).select(entity, F.col(spine_ts).alias("__ts")).distinct()
     merged = newest.select(entity, "__ts", F.lit(0).alias("__side"), "__row").unionByName(
         asked.select(entity, "__ts", F.lit(1).alias("__side")), allowMissingColumns=True
     )

@@ -150,10 +150,11 @@ def full_row_dedup(spark, sf_dir):
     return clean.distinct_rows(df)
 
 
-@query("P7", f"WITH {LINES_SQL} SELECT {KEY}, discount FROM lines WHERE discount >= 0.05")
+@query("P7", f"WITH {LINES_SQL} SELECT {KEY}, discount FROM lines WHERE quantity >= 18 AND discount >= 0.05")
 def minimum_filter(spark, sf_dir):
     """A NULL does not pass."""
-    return lines(spark, sf_dir).where(F.col("discount") >= 0.05).select(*LINE_KEY, "discount")
+    df = lines(spark, sf_dir).where(F.col("quantity") >= S.AGE_MIN)
+    return df.where(F.col("discount") >= 0.05).select(*LINE_KEY, "discount")
 
 
 @query("P8", "SELECT count(*) AS rows, count(*) >= 1000 AS accepted FROM lineitem")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators import drift, metrics
-from plumbline.plans.registry import LINES_SQL, NUMBERS, SCORED_SQL, events, lines, query, scored, table
+from plumbline.plans.registry import LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
 
 
 def curve_sql(source="scored", by=(), score="p"):
@@ -254,8 +254,8 @@ f AS (SELECT feature, x, ref, sum(ref) OVER w / sum(ref) OVER (PARTITION BY feat
 
 
 def sides(spark, sf_dir):
-    df = events(spark, sf_dir)
-    cut = F.lit("2024-01-16").cast("timestamp")
+    df = table(spark, sf_dir, "events")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
     return df.where(F.col("ts") < cut), df.where(F.col("ts") >= cut)
 
 
@@ -277,12 +277,12 @@ def ks_drift(spark, sf_dir):
     "D4",
     f"""WITH {GAPS_SQL}, a AS (SELECT feature, coalesce(sum(abs(fr - fc) * (nx - x)), 0) AS area FROM f GROUP BY 1),
     s AS (SELECT feature, stddev_pop(x) FILTER (WHERE side = 0) AS sd FROM v GROUP BY 1)
-    SELECT feature, round(area, 4) AS distance, round(area / greatest(sd, 0.001), 5) AS normed FROM a JOIN s USING (feature)""",
+    SELECT feature, round(area, 6) AS distance, round(area / greatest(sd, 0.001), 6) AS normed FROM a JOIN s USING (feature)""",
 )
 def wasserstein_drift(spark, sf_dir):
     ref, cur = sides(spark, sf_dir)
-    out = drift.wasserstein(drift.distribution_gaps(ref, cur, ["value", "user_id"]))
-    return out.select("feature", F.round("distance", 4).alias("distance"), F.round("normed", 5).alias("normed"))
+    features = ["value", "user_id"]
+    return drift.wasserstein(drift.distribution_gaps(ref, cur, features), ref, features)
 
 
 @query(

@@ -235,7 +235,7 @@ TEXT_SQL = """CASE event_type WHEN 'error' THEN 'ERROR job failed after ' || val
 
 def raw_logs(spark, sf_dir):
     """Container log records: envelope JSON with text by event type; one user in seven writes plain text."""
-    df = events(spark, sf_dir)
+    df = table(spark, sf_dir, "events")
     value = F.col("value").cast("string")
     text = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("ERROR job failed after "), value))
@@ -267,7 +267,7 @@ SHIPPED_SQL = f"""shipped AS (SELECT * FROM (SELECT ts, CASE WHEN user_id % 11 =
     "L10-L14",
     f"WITH {SHIPPED_SQL} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, container, service, project, stream, level, line FROM shipped",
 )
-def log_pipeline(spark, sf_dir):
+def shipped_logs(spark, sf_dir):
     return logs.ship(raw_logs(spark, sf_dir)).withColumn("at", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).drop("ts")
 
 
@@ -415,12 +415,12 @@ def recent_errors(spark, sf_dir):
 
 
 def purchases(spark, sf_dir):
-    df = events(spark, sf_dir).where(F.col("event_type") == "purchase")
+    df = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return df.select("user_id", F.col("ts").alias("bought_at"), F.col("value").alias("amount"), F.col("event_id").alias("purchase_id"))
 
 
 def errors(spark, sf_dir):
-    return events(spark, sf_dir).where(F.col("event_type") == "error").select("event_id", "user_id", "ts")
+    return table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("event_id", "user_id", "ts")
 
 
 ASOF_SQL = """s AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'), f AS (SELECT user_id, ts AS bought_at, value AS amount FROM events WHERE event_type = 'purchase'),
@@ -430,7 +430,7 @@ hits AS (SELECT s.event_id, s.user_id, s.ts, f.amount, f.bought_at FROM s ASOF L
 @query("FS1", f"WITH {ASOF_SQL} SELECT event_id, user_id, amount, epoch_us(bought_at)::double AS bought_us FROM hits")
 def point_in_time(spark, sf_dir):
     out = featurestore.point_in_time(errors(spark, sf_dir), purchases(spark, sf_dir), "user_id", "ts", "bought_at", ["amount"])
-    us = F.unix_micros("feature_timestamp").cast("double")
+    us = F.unix_micros(F.col("feature_timestamp").cast("timestamp")).cast("double")
     return out.select("event_id", "user_id", "amount", us.alias("bought_us"))
 
 
@@ -458,7 +458,7 @@ def latest_features(spark, sf_dir):
 def refreshed_features(spark, sf_dir):
     """A snapshot as of the 15th brought forward to the 25th equals the snapshot of the 25th."""
     df = purchases(spark, sf_dir)
-    first = featurestore.latest(df.where(F.col("bought_at") <= F.lit("2024-01-15").cast("timestamp")), "user_id", "bought_at", VALUES)
+    first = featurestore.latest(df.where(F.col("bought_at") <= F.lit("2024-01-15").cast("timestamp_ntz")), "user_id", "bought_at", VALUES)
     out = featurestore.refresh(first, df, "user_id", "bought_at", VALUES, "2024-01-15", "2024-01-25")
     return out.drop("bought_at")
 

@@ -89,7 +89,7 @@ def test_equal_samples_do_not_drift(spark):
     assert [r.psi for r in drift.feature_psi(df, df, ["v"], ["c"]).collect()] == [0.0, 0.0]
     gaps = drift.distribution_gaps(df, df, ["v"])
     assert drift.ks_test(gaps).first().statistic == 0.0 and drift.ks_test(gaps).first().p_value == 1.0
-    assert drift.wasserstein(gaps).first().distance == 0.0
+    assert drift.wasserstein(gaps, df, ["v"]).first().distance == 0.0
 
 
 def test_sliced_ks_equals_plain(spark):
@@ -102,7 +102,7 @@ def test_sliced_ks_equals_plain(spark):
     for rows in (50, 1_000_000):
         got = drift.ks_test(drift.distribution_gaps(ref, cur, ["x"], rows)).first()
         assert got.statistic == pytest.approx(want, abs=1e-6)
-    area = drift.wasserstein(drift.distribution_gaps(ref, cur, ["x"], 50)).first()
+    area = drift.wasserstein(drift.distribution_gaps(ref, cur, ["x"], 50), ref, ["x"]).first()
     steps = np.unique(values)
     exact = sum(abs(np.mean(a <= u) - np.mean(b <= u)) * (v - u) for u, v in zip(steps, steps[1:]))
     assert area.distance == pytest.approx(exact, abs=1e-6)
