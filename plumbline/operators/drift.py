@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordered import literal_array, next_row, position_in, running_sums
+from plumbline.operators.ordered import literal_array, position_in, running_sums
 from plumbline.operators.profile import quantile_bin
 from plumbline.operators.quantiles import quantiles
 
@@ -60,7 +60,8 @@ def distribution_gaps(
     values = values.where(~F.isnan("value"))
     counts = value_counts(values).withColumn("__slice", _slices(values, rows_per_slice))
     curve = running_sums(
-        counts, ["feature"], "__slice", [F.col("value")], {"ref_upto": "ref", "cur_upto": "cur"}, {"n_ref": "ref", "n_cur": "cur"}
+        counts, ["feature"], "__slice", [F.col("value")], {"ref_upto": "ref", "cur_upto": "cur"}, {"n_ref": "ref", "n_cur": "cur"},
+        {"next_value": "value"},
     )
     curve = curve.withColumn("f_ref", F.try_divide(F.col("ref_upto").cast("double"), F.col("n_ref").cast("double")))
     return curve.withColumn("f_cur", F.try_divide(F.col("cur_upto").cast("double"), F.col("n_cur").cast("double")))
@@ -85,9 +86,8 @@ def ks_test(gaps: DataFrame) -> DataFrame:
 
 def wasserstein(gaps: DataFrame, reference: DataFrame, features: Sequence[str]) -> DataFrame:
     """Area between the two distribution functions, and the same over the reference deviation (floored)."""
-    following = next_row(gaps, ["feature"], "__slice", ["value"], ["value"])
-    width = F.col("next.value") - F.col("value")
-    area = following.groupBy("feature").agg(
+    width = F.col("next_value") - F.col("value")
+    area = gaps.groupBy("feature").agg(
         F.coalesce(F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * width), F.lit(0.0)).alias("area")
     )
     spread = reference.agg(*[F.stddev_pop(F.col(f).cast("double")).alias(f) for f in features]).select(

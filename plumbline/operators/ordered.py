@@ -94,17 +94,21 @@ def running_sums(
     order: Sequence[Column],
     sums: dict[str, str],
     totals: dict[str, str] | None = None,
+    following: dict[str, str] | None = None,
     descending_parts: bool = False,
 ) -> DataFrame:
     """Inclusive running sums of `sums` (new name -> column) per `by`, in `order`.
 
     `part` must follow `order`: all rows of a lower slice come before those of a higher one.
-    `totals` (new name -> column) adds whole-key totals. All sums of counts stay exact.
+    `totals` (new name -> column) adds whole-key totals, `following` (new name -> the column that
+    gives the ascending order) its value in the next row. All sums of counts stay exact.
     """
-    totals = totals or {}
+    totals, following = totals or {}, following or {}
     rows = _keyed(df, by, part)
     columns = sorted(set(sums.values()) | set(totals.values()))
-    per_slice = rows.groupBy(KEY, part).agg(*[F.sum(c).alias(f"__s_{c}") for c in columns])
+    per_slice = rows.groupBy(KEY, part).agg(
+        *[F.sum(c).alias(f"__s_{c}") for c in columns], *[F.min(c).alias(f"__m_{n}") for n, c in following.items()]
+    )
     slice_order = F.col(part).desc() if descending_parts else F.col(part).asc()
     before = Window.partitionBy(KEY).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(KEY)
@@ -113,32 +117,21 @@ def running_sums(
         part,
         *[F.coalesce(F.sum(f"__s_{c}").over(before), F.lit(0)).alias(f"__o_{n}") for n, c in sums.items()],
         *[F.sum(f"__s_{c}").over(whole).alias(n) for n, c in totals.items()],
+        *[F.lead(f"__m_{n}").over(Window.partitionBy(KEY).orderBy(slice_order)).alias(f"__m_{n}") for n in following],
     )
     inside = Window.partitionBy(KEY, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = rows.select("*", *[F.sum(c).over(inside).alias(f"__r_{n}") for n, c in sums.items()])
+    near = Window.partitionBy(KEY, part).orderBy(*order)
+    running = rows.select(
+        "*",
+        *[F.sum(c).over(inside).alias(f"__r_{n}") for n, c in sums.items()],
+        *[F.lead(c).over(near).alias(f"__n_{n}") for n, c in following.items()],
+    )
     return running.join(offsets, [KEY, part]).select(
         *_key_columns(by),
         *[c for c in df.columns if c not in by],
         *[(F.col(f"__r_{n}") + F.col(f"__o_{n}")).alias(n) for n in sums],
         *totals,
-    )
-
-
-def _with_neighbour(df, by, part, order, fields, name, forward: bool) -> DataFrame:
-    rows = _keyed(df, by, part)
-    value = F.struct(*[F.col(f) for f in fields])
-    edge = F.min_by if forward else F.max_by
-    move = F.lead if forward else F.lag
-    edges = rows.groupBy(KEY, part).agg(edge(value, F.struct(*order)).alias("__edge"))
-    across = Window.partitionBy(KEY).orderBy(part)
-    carried = edges.select(KEY, part, move("__edge").over(across).alias("__carry"))
-    inside = Window.partitionBy(KEY, part).orderBy(*order)
-    return (
-        rows.withColumn("__near", move(value).over(inside))
-        .join(carried, [KEY, part])
-        .select(
-            *_key_columns(by), *[c for c in df.columns if c not in by], F.coalesce("__near", "__carry").alias(name)
-        )
+        *[F.coalesce(f"__n_{n}", f"__m_{n}").alias(n) for n in following],
     )
 
 
@@ -148,14 +141,16 @@ def previous_row(
     """Adds struct `name` with `fields` of the row before, per `by` in `order`, across slices.
 
     `order` must be unique within a key."""
-    return _with_neighbour(df, by, part, order, fields, name, forward=False)
-
-
-def next_row(
-    df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], fields: Sequence[str], name: str = "next"
-) -> DataFrame:
-    """Adds struct `name` with `fields` of the following row, per `by` in `order`, across slices."""
-    return _with_neighbour(df, by, part, order, fields, name, forward=True)
+    rows = _keyed(df, by, part)
+    value = F.struct(*[F.col(f) for f in fields])
+    tails = rows.groupBy(KEY, part).agg(F.max_by(value, F.struct(*order)).alias("__tail"))
+    carried = tails.select(KEY, part, F.lag("__tail").over(Window.partitionBy(KEY).orderBy(part)).alias("__carry"))
+    inside = Window.partitionBy(KEY, part).orderBy(*order)
+    return (
+        rows.withColumn("__lag", F.lag(value).over(inside))
+        .join(carried, [KEY, part])
+        .select(*_key_columns(by), *[c for c in df.columns if c not in by], F.coalesce("__lag", "__carry").alias(name))
+    )
 
 
 def last_known(

@@ -62,14 +62,14 @@ def test_running_sums_descending(rows):
     assert collect(got.select("key", "at", "run")) == collect(want.select("key", "at", "run"))
 
 
-@pytest.mark.parametrize("step", ["previous", "next"])
-def test_neighbour_rows(rows, step):
-    move = ordered.previous_row if step == "previous" else ordered.next_row
-    got = move(sliced(rows), ["key"], ordered.SLICE, ["at"], ["at", "n"], "other").select("key", "at", "other.at", "other.n")
+def test_neighbour_rows(rows):
     w = Window.partitionBy("key").orderBy("at")
-    fn = F.lag if step == "previous" else F.lead
-    want = rows.select("key", "at", fn("at").over(w).alias("x"), fn("n").over(w).alias("y"))
-    assert collect(got) == collect(want)
+    got = ordered.previous_row(sliced(rows), ["key"], ordered.SLICE, ["at"], ["at", "n"], "other")
+    want = rows.select("key", "at", F.lag("at").over(w).alias("x"), F.lag("n").over(w).alias("y"))
+    assert collect(got.select("key", "at", "other.at", "other.n")) == collect(want)
+    got = ordered.running_sums(sliced(rows), ["key"], ordered.SLICE, [F.col("at")], {"s": "n"}, following={"next": "at"})
+    want = rows.select("key", "at", F.lead("at").over(w).alias("next"))
+    assert collect(got.select("key", "at", "next")) == collect(want)
 
 
 def test_last_known(rows):
