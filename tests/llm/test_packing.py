@@ -48,7 +48,7 @@ def test_plan_places_everything_in_few_sequences():
         counts[0] = 0
         half = capacity // 2  # longer ones stand alone, two of half the capacity share
         least = max(-(-int((counts * np.arange(capacity + 1)).sum()) // capacity), counts[half + 1 :].sum() - (-counts[half] // 2))
-        assert place(list(counts)) <= least * 1.01 + 2
+        assert place(list(counts)) <= least * 1.05 + 2
 
 
 def check_places(rows, capacity, docs):
