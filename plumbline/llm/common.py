@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,31 @@ def slices(frame: pd.DataFrame, column: str, most: int = BATCH_CHARS) -> Iterato
         yield part
 
 
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each run of rows with equal keys, from batches sorted by them; one run at a time is held."""
+    held: dict[str, list[np.ndarray]] = {}
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = {c: batch[c].to_numpy() for c in batch.columns}
+        new = np.zeros(len(batch), bool)
+        new[0] = True
+        for k in keys:
+            new[1:] |= columns[k][1:] != columns[k][:-1]
+        bounds = [*np.flatnonzero(new).tolist(), len(batch)]
+        for a, b in zip(bounds, bounds[1:]):
+            key = tuple(columns[k][a] for k in keys)
+            if held and key != last:
+                yield {c: v[0] if len(v) == 1 else np.concatenate(v) for c, v in held.items()}
+                held = {}
+            last = key
+            for c, v in columns.items():
+                held.setdefault(c, []).append(v[a:b])
+    if held:
+        yield {c: v[0] if len(v) == 1 else np.concatenate(v) for c, v in held.items()}
+
+
 def checksum(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import packing, planes
+from plumbline.llm import minhash, packing, planes
 from plumbline.llm.common import ready
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
@@ -36,3 +36,8 @@ def op5_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "ids")
     planes.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return planes.read(spark, path).select("doc_id", "start", "n_tokens", F.col("ids_crc32"))
+
+
+@query()
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
