@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import minhash, packing, planes
+from plumbline.llm import decontaminate, minhash, packing, planes, sites, substrings
 from plumbline.llm.common import ready
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
@@ -41,3 +41,30 @@ def op5_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"), size=50).drop("kept_text")
+
+
+@query()
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.found(docs, items, rate=0.15, least_words=8).drop("text_hash")
+
+
+@query(
+    """
+    WITH l AS (SELECT doc_id, site, generate_subscripts(a, 1) AS pos, unnest(a) AS line
+        FROM (SELECT doc_id, coalesce(source, '') AS site, string_split(text, chr(10)) AS a FROM documents)),
+    b AS (SELECT line, min(doc_id) AS first FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 10),
+    m AS (SELECT l.*, b.first IS NOT NULL AND (l.doc_id <> b.first
+        OR row_number() OVER (PARTITION BY l.doc_id, l.line ORDER BY l.pos) > 1) AS gone FROM l LEFT JOIN b USING (line))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+    FROM m GROUP BY doc_id
+    """
+)
+def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.cleaned(table(spark, sf_dir, "documents"), sites=10).select("doc_id", "n_lines", "n_removed", "text")
