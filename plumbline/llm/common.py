@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.session import prepare, shared_dir
 
+#: Stands for a null id inside tasks and files, where a null would turn integers into floats.
+NONE = -(2**63)
 BATCH_ROWS = 256
 BATCH_CHARS = 2_000_000
 
@@ -29,6 +31,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(column: str = "doc_id") -> Column:
+    return F.coalesce(F.col(column), F.lit(NONE)).cast("long").alias(column)
+
+
+def unnumbered(df: DataFrame, column: str = "doc_id") -> DataFrame:
+    return df.withColumn(column, F.nullif(column, F.lit(NONE)))
+
+
 def slices(frame: pd.DataFrame, column: str, most: int = BATCH_CHARS) -> Iterator[pd.DataFrame]:
     """Consecutive parts of a batch that hold about `most` characters of a text column."""
     total = frame[column].str.len().fillna(0).cumsum()
@@ -61,6 +71,35 @@ def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str,
         yield {c: v[0] if len(v) == 1 else np.concatenate(v) for c, v in held.items()}
 
 
+def spread(rest: np.ndarray, alike: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """A forest over the given positions: from each start, take in what is alike and not yet reached."""
+    links = []
+    while len(rest):
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            at = queue.pop()
+            near = alike(at, rest)
+            found = rest[near].tolist()
+            links += [(at, i) for i in found]
+            queue += found
+            rest = rest[~near]
+    return links
+
+
+def tiled(df: DataFrame, group: str, by: str) -> DataFrame:
+    """Rows of a group cut into `blocks` parts by hash, each sent to every pair of parts that holds it,
+    in runs of (group, low, high)."""
+    part = F.pmod(F.xxhash64(by, F.lit(7)), F.col("blocks")).cast("int")
+    cut = df.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("blocks", "other")
+    return cut.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
+
+
+def across(run: dict[str, np.ndarray], rest: np.ndarray, at: int) -> np.ndarray | bool:
+    """In a tile of two parts, only pairs of one with the other are new."""
+    return True if run["low"][0] == run["high"][0] else run["part"][rest] != run["part"][at]
+
+
 def checksum(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
 

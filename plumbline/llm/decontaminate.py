@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import words
-from plumbline.llm.common import ready, slices
+from plumbline.llm.common import numbered, ready, slices, unnumbered
 
 BLOCK_CHARS = 4_000_000
 TO_SPACE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
@@ -79,7 +79,7 @@ def pieces(n: int, budget: int) -> list[tuple[int, int]]:
 class Items:
     """A block of test items, ready for lookups."""
 
-    def __init__(self, rows: list[tuple[int | None, str]], rate: float, least_words: int):
+    def __init__(self, rows: list[tuple[int, str]], rate: float, least_words: int):
         self.rows = [(i, w, int(rate * len(w))) for i, w in ((i, normal(t)) for i, t in rows) if len(w) >= least_words]
         found: dict[int, list[tuple[int, int, int]]] = {}
         for n, (_, own, budget) in enumerate(self.rows):
@@ -105,7 +105,7 @@ class Items:
                 for n, offset in items[i:j]:
                     yield int(a) - int(offset), int(n)
 
-    def search(self, texts: list[list[bytes]]) -> Iterator[tuple[int, int | None, int, int, int, int]]:
+    def search(self, texts: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(text, item_id, n_words, distance, start, end) of every item in every text."""
         bounds = np.cumsum([0] + [len(t) for t in texts])
         hashes = words.hashed(list(chain.from_iterable(texts)))
@@ -144,7 +144,7 @@ def ranges(begins: list[int], m: int, k: int, n: int) -> list[tuple[int, int]]:
 def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15, least_words: int = 8) -> DataFrame:
     """doc_id, text_hash, item_id, n_words, distance, start_word, end_word: items found in documents."""
     ready(docs.sparkSession)
-    texts = benchmark.where("text IS NOT NULL").select("item_id", "text")
+    texts = benchmark.where("text IS NOT NULL").select(numbered("item_id"), "text")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // BLOCK_CHARS
     out = docs.sparkSession.createDataFrame([], FOUND)
@@ -160,7 +160,7 @@ def _pass(docs: DataFrame, items: Items) -> DataFrame:
             for frame in slices(batch, "text"):
                 ids, hashes = frame["doc_id"].tolist(), frame["text_hash"].tolist()
                 rows = [(ids[t], hashes[t], *rest) for t, *rest in items.search([normal(x) for x in frame["text"]])]
-                out = pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"), item_id=out["item_id"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, FOUND)
+    rows = docs.select(numbered(), F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, FOUND)
+    return unnumbered(unnumbered(rows), "item_id")

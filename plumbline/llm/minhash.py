@@ -23,7 +23,7 @@ no rows. Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from plumbline.llm import words
-from plumbline.llm.common import components, ready, runs, saved, slices
+from plumbline.llm.common import across, components, numbered, ready, runs, saved, slices, spread, tiled, unnumbered
 
 SHINGLE = 5
 COORDINATES = 256
@@ -77,38 +77,10 @@ def sketches(docs: DataFrame) -> DataFrame:
                         band = words.mix(band ^ part.astype(np.uint64)) * words.BASE
                     rows.append((doc_id, text_hash, len(grams), xxh3_128_digest(b" ".join(own)), band.view(np.int64), (places & 0xFF).astype(np.uint8).tobytes()))
                 out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "n_shingles", "key", "bands", "print"])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, print binary")
-
-
-def spread(rest: np.ndarray, alike: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """A forest over the given positions: from each start, take in what is alike and not yet reached."""
-    links = []
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            near = alike(at, rest)
-            found = rest[near].tolist()
-            links += [(at, i) for i in found]
-            queue += found
-            rest = rest[~near]
-    return links
-
-
-def tiled(df: DataFrame, group: str, by: str) -> DataFrame:
-    """Rows of a group cut into `blocks` parts by hash, each sent to every pair of parts that holds it,
-    in runs of (group, low, high)."""
-    part = F.pmod(F.xxhash64(by, F.lit(7)), F.col("blocks")).cast("int")
-    cut = df.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("blocks", "other")
-    return cut.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high")
-
-
-def across(run: dict[str, np.ndarray], rest: np.ndarray, at: int) -> np.ndarray | bool:
-    """In a tile of two parts, only pairs of one with the other are new."""
-    return True if run["low"][0] == run["high"][0] else run["part"][rest] != run["part"][at]
+                yield out
+
+    rows = docs.select(numbered(), "text", F.xxhash64("text").alias("text_hash"))
+    return unnumbered(rows.mapInPandas(run, "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, print binary"))
 
 
 def forest(members: DataFrame, least: int) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import ready, saved, slices
+from plumbline.llm.common import numbered, ready, saved, slices, unnumbered
 from plumbline.llm.tokens import encoder
 
 Pattern = tuple[tuple[int, ...], int]
@@ -51,11 +51,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
                         part = ids[4 * start : 4 * (start + length)]
                         rows.append((doc_id, i, start, length, zlib.crc32(part), bytes(part) if with_ids else None))
                 out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out if with_ids else out.drop(columns="ids")
 
     ready(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES + (", ids binary" if with_ids else ""))
+    return unnumbered(docs.select(numbered(), "text").mapInPandas(run, PIECES + (", ids binary" if with_ids else "")))
 
 
 def patterns(counts: np.ndarray) -> np.ndarray:
@@ -190,7 +189,10 @@ def pack(parts: DataFrame, capacity: int = 2048, rows_per_slice: int = 200_000)
             yield frame.assign(sequence_id=base[at] + rank - first[at], offset=offset[at])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
-    return ranked.mapInPandas(run, f"{schema}, sequence_id long, offset long")
+    if "doc_id" not in columns:
+        return ranked.mapInPandas(run, f"{schema}, sequence_id long, offset long")
+    ranked = ranked.withColumn("doc_id", numbered())
+    return unnumbered(ranked.mapInPandas(run, f"{schema}, sequence_id long, offset long"))
 
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

@@ -5,7 +5,7 @@ bytes, then the next, ...) or bit planes, and each plane is compressed with zsta
 A file set is a folder with two tables:
 
 chunks  shard, block, n_ids, planes (one compressed binary per plane), and for the documents that
-        start in the block doc_ids, starts (ids of the shard before them) and lengths
+        start in the block doc_ids, starts (ids of the shard before them) and lengths; -2**63 stands for a null doc_id
 index   shard, block, start (ids of all files before the block), n_ids, plane_bytes
 
 A shard is a range of doc_id; shards ascend by doc_id and only the last block of a shard may be
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import ready, slices
+from plumbline.llm.common import numbered, ready, slices, unnumbered
 from plumbline.llm.tokens import encoder
 
 CHUNK = "shard int, block int, n_ids int, planes array<binary>, doc_ids array<long>, starts array<long>, lengths array<long>"
@@ -76,7 +76,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block: int =
             for frame in slices(batch, "text"):
                 for doc_id, text in zip(frame["doc_id"], frame["text"]):
                     ids = encode(text) + end
-                    open_docs.append((None if pd.isna(doc_id) else int(doc_id), before + len(held) // 4, len(ids) // 4))
+                    open_docs.append((int(doc_id), before + len(held) // 4, len(ids) // 4))
                     held += ids
                     while len(held) >= 4 * block:
                         yield chunk(block)
@@ -84,7 +84,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block: int =
             yield chunk(len(held) // 4)
 
     ready(docs.sparkSession)
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = docs.select(numbered(), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     rows.mapInPandas(run, CHUNK).write.parquet(f"{path}/chunks")
     chunks = docs.sparkSession.read.schema(CHUNK).parquet(f"{path}/chunks")
     totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -111,7 +111,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                     shard, before = row.shard, 0
                 ids = memoryview(unshuffled([unpack.decompress(p) for p in row.planes], row.n_ids).tobytes())
                 for d, s, n in zip(row.doc_ids, row.starts, row.lengths):
-                    open_docs.append([None if pd.isna(d) else int(d), int(s), int(n), 0, []])
+                    open_docs.append([int(d), int(s), int(n), 0, []])
                 while open_docs and open_docs[0][1] < before + row.n_ids:
                     doc = open_docs[0]
                     a, b = max(doc[1], before), min(doc[1] + doc[2], before + row.n_ids)
@@ -125,7 +125,6 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                     open_docs.popleft()
                 before += row.n_ids
             out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
             yield out if with_ids else out.drop(columns="ids")
 
     ready(spark)
@@ -133,4 +132,4 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     index = spark.read.schema("shard int, block int, start long, n_ids int, plane_bytes array<int>").parquet(f"{path}/index")
     base = index.groupBy("shard").agg(F.min("start").alias("base"))
     rows = chunks.join(base, "shard").repartition("shard").sortWithinPartitions("shard", "block")
-    return rows.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
+    return unnumbered(rows.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")))

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, minhash, packing, planes, sites, substrings
-from plumbline.llm.common import ready
+from plumbline.llm import chat, decontaminate, minhash, packing, planes, secrets, sites, substrings, toxicity, vectors
+from plumbline.llm.common import ready, saved
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
 
@@ -68,3 +68,37 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 )
 def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.cleaned(table(spark, sf_dir, "documents"), sites=10).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.scored(docs, toxicity.train(docs, labels)).drop("text_hash")
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
+    count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+@query()
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query()
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(saved(chat.formatted(talks), "chat"))

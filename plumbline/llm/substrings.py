@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from plumbline.llm import words
-from plumbline.llm.common import ready, saved, slices
+from plumbline.llm.common import numbered, ready, saved, slices, unnumbered
 
 OTHER = np.uint64(0xD6E8FEB86659FD93)
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -67,10 +67,10 @@ def outlines(docs: DataFrame, size: int) -> DataFrame:
                     joined = b" ".join(own)
                     rows.append((doc_id, t, len(own), xxh3_128_digest(joined), hashlib.sha256(joined).hexdigest(), np.unique(half[at]).view(np.int64)))
                 out = pd.DataFrame(rows, columns=["doc_id", "t", "n_words", "key", "sha256", "halves"])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                yield out
 
-    rows = docs.select("doc_id", F.hash("text").alias("t"), "text")
-    return rows.mapInPandas(run, "doc_id long, t int, n_words long, key binary, sha256 string, halves array<long>")
+    rows = docs.select(numbered(), F.hash("text").alias("t"), "text")
+    return unnumbered(rows.mapInPandas(run, "doc_id long, t int, n_words long, key binary, sha256 string, halves array<long>"))
 
 
 def extended(texts: DataFrame, size: int) -> DataFrame:
