@@ -13,10 +13,10 @@ def _col(c: Column | str) -> Column:
 
 
 def soft_cast(c: Column | str, type_name: str) -> Column:
-    """Cast that yields NULL for bad text; integers go through double so '3.7' becomes 3."""
+    """Cast that yields NULL for bad text; an integer keeps every digit, and '3.7' becomes 3."""
     c = _col(c)
     if type_name in ("int", "bigint", "smallint", "tinyint"):
-        return c.try_cast("double").try_cast(type_name)
+        return F.coalesce(c.try_cast(type_name), c.try_cast("double").try_cast(type_name))
     return c.try_cast(type_name)
 
 

@@ -74,7 +74,8 @@ def ks_test(gaps: DataFrame) -> DataFrame:
         F.first("n_ref").alias("n_ref"),
         F.first("n_cur").alias("n_cur"),
     )
-    effective = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
+    n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
+    effective = F.sqrt(n_ref * n_cur / (n_ref + n_cur))
     x = F.col("statistic") * effective
     term = lambda k: F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * x * x)
     series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda total, k: total + term(k))
@@ -114,7 +115,7 @@ def category_counts(reference: DataFrame, current: DataFrame, features: Sequence
 
 def category_drift(counts: DataFrame) -> DataFrame:
     """Chi-square statistic (two-sample homogeneity) and Jensen-Shannon distance per feature."""
-    total, both = F.col("n_ref") + F.col("n_cur"), F.col("ref") + F.col("cur")
+    total, both = F.col("n_ref") + F.col("n_cur"), (F.col("ref") + F.col("cur")).cast("double")
     term = F.lit(0.0)
     for seen, n in (("ref", "n_ref"), ("cur", "n_cur")):
         expected = both * F.col(n) / total

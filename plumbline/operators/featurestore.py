@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.ordered import SLICE, last_known, order_slices, previous_row
-from plumbline.session import small_rows
 
 
 def point_in_time(
@@ -62,13 +61,7 @@ def refresh(
 
 
 def lookup(requests: DataFrame, snapshot: DataFrame, entity: str) -> DataFrame:
-    """Requests with their latest features. A small request table filters the snapshot by broadcast,
-    so the snapshot is not shuffled; large ones and streams join the snapshot as it is."""
-    if requests.isStreaming:
-        return requests.join(snapshot, entity, "left")
-    keys = small_rows(requests.select(entity).distinct())
-    if keys is not None:
-        snapshot = snapshot.join(F.broadcast(keys), entity, "left_semi")
+    """Requests with their latest features: one equi-join, at every size and for streams."""
     return requests.join(snapshot, entity, "left")
 
 

@@ -1,7 +1,7 @@
 """Exact classifier quality from a per-score histogram.
 
-Scores are rounded to six places, as scored tables store them, so the histogram has at most
-1 000 001 rows per group however large the input; every curve and metric is a window over it.
+Scores count as they are; a histogram has a row per distinct score of a group, and every curve and
+metric is a window over it. Tables that store rounded scores have the smaller histograms.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ def grid() -> list[float]:
 
 
 def score_histogram(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), digits: int = 6
+    df: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Positives and negatives per distinct rounded score. Partial aggregation absorbs hot scores."""
+    """Positives and negatives per distinct score. Partial aggregation absorbs hot scores."""
     y = F.col(label)
     return (
         df.where(y.isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, F.round(F.col(score).cast("double"), digits).alias("score"))
+        .groupBy(*by, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
     )
 
@@ -118,7 +118,8 @@ def pr_points(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def ks_threshold(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Score at the widest gap between the curves; the highest score on ties."""
-    gap = F.round(F.col("tp") / F.col("p") - F.col("fp") / F.col("n"), 12)
+    share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.col(n).cast("double"))
+    gap = F.round(share("tp", "p") - share("fp", "n"), 12)
     return curve.groupBy(*by).agg(
         F.max_by(F.col("score"), F.struct(gap, "score")).alias("threshold"),
         F.round(F.max(gap), 6).alias("gap"),

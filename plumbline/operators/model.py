@@ -12,14 +12,14 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline import schema as S
 from plumbline.functions import columns as C
 from plumbline.operators import drift, metrics
+from plumbline.operators.ordered import running_sums
 from plumbline.operators.split import stratified_folds
-from plumbline.session import small_rows
 
 POSITIVE_WEIGHT = 13.9  # fixed value
 SEED = 42
@@ -27,7 +27,7 @@ SEED = 42
 
 def class_weights(train: DataFrame, label: str) -> tuple[dict[int, float], int]:
     """Balanced weights n / (2 * n_class) and the number of rows."""
-    counts = {int(r[0]): r[1] for r in train.groupBy(F.col(label).cast("int")).count().limit(100).collect()}
+    counts = {int(r[0]): r[1] for r in train.groupBy(F.col(label).cast("int")).count().collect()}  # a row per class
     n = sum(counts.values())
     return {k: n / (len(counts) * c) for k, c in counts.items()}, n
 
@@ -247,20 +247,26 @@ def linear_attribution(df: DataFrame, model: Model, features: Sequence[str]) ->
     )
 
 
+def _placed(df: DataFrame, by: Sequence[str], h: Column, ties: Sequence[str]) -> DataFrame:
+    """df with its place __i, from 1, per `by` in the order of a 64-bit hash."""
+    sliced = df.withColumns({"__h": h, "__one": F.lit(1)}).withColumn("__slice", F.shiftright("__h", 50))
+    return running_sums(sliced, by, "__slice", [F.col("__h"), *map(F.col, ties)], {"__i": "__one"}).drop("__h", "__one", "__slice")
+
+
 def permutation_importance(
     sample: DataFrame, model: Model, features: Sequence[str], label: str, row_id: str, seed: int = SEED
 ) -> DataFrame:
-    """Loss of AUC when one column is shuffled, over a bounded sample (see sample_n), in one scoring job."""
-    sample = small_rows(sample.select(row_id, label, *features))
-    if sample is None:
-        raise ValueError("permutation importance is defined on a bounded sample: use sample_n first")
-    place = F.row_number().over(Window.orderBy(row_id))
-    base = sample.select(place.alias("__i"), label, *[F.col(f).cast("double").alias(f) for f in features])
+    """Loss of AUC when one column is shuffled, over all rows given, in one scoring job.
+
+    Rows and values get their places from counts per hash slice, so no task ranks a whole column.
+    """
+    numbers = [F.col(f).cast("double").alias(f) for f in features]
+    base = _placed(sample.select(row_id, label, *numbers), [], F.xxhash64(row_id), [row_id]).drop(row_id)
     melted = base.select(
         "__i", F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("__v")) for f in features]))
     )
-    shuffled = Window.partitionBy("feature").orderBy(F.xxhash64(F.lit(seed), "feature", "__i"), "__i")
-    moved = melted.select("feature", "__v", F.row_number().over(shuffled).alias("__i"))
+    mixed = F.xxhash64(F.lit(seed), "feature", "__from")
+    moved = _placed(melted.withColumnRenamed("__i", "__from"), ["feature"], mixed, ["__from"]).select("feature", "__v", "__i")
     variants = base.join(moved, "__i").withColumns(
         {f: F.when(F.col("feature") == f, F.col("__v")).otherwise(F.col(f)) for f in features}
     )

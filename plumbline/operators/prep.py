@@ -48,13 +48,18 @@ class Scaler:
         return Scaler(**json.loads(text))
 
 
+def _numbers(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """Numeric columns as doubles in which NaN is missing."""
+    return df.withColumns({c: C.nan_to_null(F.col(c).cast("double")) for c in numeric})
+
+
 def fit_medians(train: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
-    found = quantiles(train, {c: [0.5] for c in numeric})
+    found = quantiles(_numbers(train, numeric), {c: [0.5] for c in numeric})
     return {c: (v[0] if v[0] is not None else 0.0) for c, v in found.items()}
 
 
 def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()})
+    return df.withColumns({c: F.coalesce(C.nan_to_null(F.col(c).cast("double")), F.lit(m)) for c, m in medians.items()})
 
 
 def fit(train: DataFrame, numeric: Sequence[str], categories: dict[str, list[str]] | None = None) -> Scaler:
@@ -121,7 +126,7 @@ def feature_config(
 
 def reference_profile(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """Per feature: null rate, and for numerics mean, sample deviation, quartiles; 6 places."""
-    spark = train.sparkSession
+    train = _numbers(train, numeric)
     quartiles = quantiles(train, {c: [0.25, 0.5, 0.75] for c in numeric})
     stats = train.agg(
         *[F.avg(F.col(c).isNull().cast("double")).alias(f"null_{c}") for c in [*numeric, *categorical]],

@@ -172,7 +172,7 @@ def breach_runs(breaches: DataFrame, by: Sequence[str], step_s: int) -> DataFram
 
 
 def alert_states(
-    breaches: DataFrame, by: Sequence[str], step_s: int = 60, for_s: int | Column = 0, until: int | None = None
+    breaches: DataFrame, by: Sequence[str], step_s: int = 60, for_s: int | Column = 0, *, until: int | Column
 ) -> DataFrame:
     """Transitions (state, at) of each run: pending at its start, firing once it lasted for_s, and
     resolved at the first evaluation after a run that fired. Without a waiting time firing is immediate.
@@ -183,7 +183,7 @@ def alert_states(
     wait = F.ceil(wait / F.lit(step_s)) * step_s
     runs = breach_runs(breaches, by, step_s)
     fired = F.col("end") - F.col("start") >= wait
-    over = F.lit(True) if until is None else F.col("end") + step_s <= until
+    over = F.col("end") + step_s <= (until if isinstance(until, Column) else F.lit(until))
     steps = F.array_compact(
         F.array(
             F.when(wait > 0, F.struct(F.lit("pending").alias("state"), F.col("start").alias("at"))),

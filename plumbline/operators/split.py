@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.session import small_side
-
 SLICES = 8192
 
 
@@ -50,7 +48,7 @@ def _cuts(df: DataFrame, by: Column, keys: Sequence[str], order: tuple[Column, i
     wanted = F.array(*[F.struct(F.lit(n).alias("cut"), c.alias("rank")) for n, c in counts.items()])
     ranks = sizes.select("__class", "__slice", "__before", "__upto", F.inline(wanted))
     hit = ranks.where((F.col("rank") > F.col("__before")) & (F.col("rank") <= F.col("__upto")))
-    edge_rows = narrow.join(small_side(hit), ["__class", "__slice"])
+    edge_rows = narrow.join(hit, ["__class", "__slice"])
     place = Window.partitionBy("__class", "__slice", "cut").orderBy("__h", *keys)
     ranked = edge_rows.withColumn("__at", F.col("__before") + F.row_number().over(place))
     ranked = ranked.where(F.col("__at") == F.col("rank"))
@@ -59,10 +57,12 @@ def _cuts(df: DataFrame, by: Column, keys: Sequence[str], order: tuple[Column, i
 
 def _with_cuts(df, by, keys, order, counts) -> DataFrame:
     """df with the cut structs of its class, and its own place `__row` to compare with them."""
-    cuts = small_side(_cuts(df, by, keys, order, counts))
-    return df.withColumn("__class", by).withColumn("__row", F.struct(order[0].alias("__h"), *keys)).join(
-        cuts, "__class", "left"
-    )
+    cuts = _cuts(df, by, keys, order, counts)
+    entry = F.struct(F.struct("__class").alias("key"), F.struct(*counts).alias("value"))
+    found = cuts.agg(F.map_from_entries(F.collect_list(entry)).alias("cuts")).scalar()  # an entry per class
+    placed = df.withColumn("__row", F.struct(order[0].alias("__h"), *keys))
+    placed = placed.withColumn("__cut", F.try_element_at(found, F.struct(by.alias("__class"))))
+    return placed.withColumns({c: F.col("__cut").getField(c) for c in counts}).drop("__cut")
 
 
 def stratified_split(
@@ -93,8 +93,6 @@ def sample_n(
     """Exactly n rows (all rows when there are fewer), the same ones on every run."""
     order = order or hash_order(keys or df.columns, seed)
     keys = list(keys or df.columns)
-    if n <= 20_000:
-        return df.orderBy(order[0], *keys).limit(n)
     joined = _with_cuts(df, F.lit(0), keys, order, {"__end": F.least(F.col("__n"), F.lit(n))})
     return joined.where(F.col("__row") <= F.col("__end")).select(*df.columns)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline import schema as S
-from plumbline.operators import model, prep, split
+from plumbline.operators import model, prep
 from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
 from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
@@ -32,7 +32,7 @@ def part(df, name):
 @query("T1, T7")
 def logistic_regression(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y", max_iter=100)
+    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
     return model.evaluate(data, fitted, FEATURES_USED, "y", ["split"])
 
 
@@ -86,7 +86,7 @@ def refitted_model(spark, sf_dir):
 @query("T8")
 def batch_scores(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y", max_iter=50)
+    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
     return model.score(data.where(F.col("split") != "train"), fitted, FEATURES_USED, 0.5)
 
 
@@ -103,17 +103,15 @@ def predictions_attached(spark, sf_dir):
 @query("T10")
 def linear_attribution(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y", max_iter=50)
+    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
     return model.linear_attribution(part(data, "val"), fitted, FEATURES_USED)
 
 
 @query("T10")
 def permutation_importance(spark, sf_dir):
-    """Over the bounded validation sample the report uses."""
     data = matrices(spark, sf_dir)
-    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y", max_iter=50)
-    sample = split.sample_n(part(data, "val"), 3000, [S.ROW_ID])
-    return model.permutation_importance(sample, fitted, FEATURES_USED, "y", S.ROW_ID)
+    fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
+    return model.permutation_importance(part(data, "val"), fitted, FEATURES_USED, "y", S.ROW_ID)
 
 
 @query("T11")

@@ -151,7 +151,7 @@ def breach_sql(step, wait):
     w = -(-wait // step) * step
     return f"""islands AS (SELECT type, min(t) AS a, max(t) AS b FROM (SELECT type, t, t - {step} * row_number() OVER (PARTITION BY type ORDER BY t) AS island FROM breaches) GROUP BY type, island),
 moves AS (SELECT type, 'pending' AS state, a AS at_s FROM islands WHERE {w} > 0 UNION ALL SELECT type, 'firing', a + {w} FROM islands WHERE b - a >= {w}
-  UNION ALL SELECT type, 'resolved', b + {step} FROM islands WHERE b - a >= {w})"""
+  UNION ALL SELECT type, 'resolved', b + {step} FROM islands WHERE b - a >= {w} AND b + {step} <= (SELECT max(t) FROM hourly))"""
 
 
 HOURLY_SQL = f"""logs AS (SELECT epoch_us(ts) AS us, event_type AS type FROM events),
@@ -163,14 +163,14 @@ breaches AS (SELECT type, t FROM hourly WHERE value > 2 / 3600.0::double)"""
 def alert_states(spark, sf_dir):
     """Hourly event rate over a bound: pending, firing after two hours, resolved."""
     rate = logs.line_rate(events(spark, sf_dir).withColumnRenamed("event_type", "type"), ["type"], HOUR, HOUR)
-    return series.alert_states(rate.where(F.col("value") > 2 / 3600.0).select("type", "t"), ["type"], HOUR, 2 * HOUR).withColumnRenamed("at", "at_s")
+    return series.alert_states(rate.where(F.col("value") > 2 / 3600.0).select("type", "t"), ["type"], HOUR, 2 * HOUR, until=rate.agg(F.max("t")).scalar()).withColumnRenamed("at", "at_s")
 
 
 @query("TS10", f"WITH {HOURLY_SQL}, {breach_sql(HOUR, 0)} SELECT type, state, at_s FROM moves")
 def immediate_alerts(spark, sf_dir):
     """Without a waiting time there is no pending state."""
     rate = logs.line_rate(events(spark, sf_dir).withColumnRenamed("event_type", "type"), ["type"], HOUR, HOUR)
-    return series.alert_states(rate.where(F.col("value") > 2 / 3600.0).select("type", "t"), ["type"], HOUR, 0).withColumnRenamed("at", "at_s")
+    return series.alert_states(rate.where(F.col("value") > 2 / 3600.0).select("type", "t"), ["type"], HOUR, 0, until=rate.agg(F.max("t")).scalar()).withColumnRenamed("at", "at_s")
 
 
 @query(

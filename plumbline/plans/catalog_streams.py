@@ -127,7 +127,7 @@ def scored_stream(spark, sf_dir):
     """Micro-batches through gate, fitted transform and model; the same rows as batch scoring."""
     train, rest = train_and_rest(spark, sf_dir)
     fitted = prep.fit(train, NUMBERS)
-    scorer = model.fit_logistic(fitted.transform(train, ["y"]), FEATURES_USED, "y", max_iter=50)
+    scorer = model.fit_logistic(fitted.transform(train, ["y"]), FEATURES_USED, "y")
     rows = rest.select(F.xxhash64(*LINE_KEY).alias(S.ROW_ID), *NUMBERS)
     stream, _ = as_stream(rows, "to-score")
     out, rejected = shared_dir(spark, "scores"), shared_dir(spark, "rejected")

@@ -1,12 +1,11 @@
-"""Session settings, the shared scratch folder, and size-checked broadcasts."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,19 +57,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def small_rows(df: DataFrame, max_rows: int = 100_000) -> DataFrame | None:
-    """df computed once as a local table, or None when it holds more than max_rows rows.
-
-    Reads at most max_rows + 1 rows to the driver, so use it for parameter tables
-    (cuts, bounds, class sizes), whose size does not follow the data.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return None if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """df for a broadcast after its size was checked; df as it is when it is larger."""
-    small = small_rows(df, max_rows)
-    return df if small is None else F.broadcast(small)

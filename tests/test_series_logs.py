@@ -62,7 +62,7 @@ def test_series_key_ignores_map_order(spark):
 def test_alert_transitions(spark):
     held = [0, 60, 120, 180, 240, 300, 360, 600, 660, 900]
     df = spark.createDataFrame([("r", epoch(t)) for t in held], "rule string, t long")
-    got = sorted((r.at - epoch(0), r.state) for r in series.alert_states(df, ["rule"], 60, 300).collect())
+    got = sorted((r.at - epoch(0), r.state) for r in series.alert_states(df, ["rule"], 60, 300, until=epoch(2000)).collect())
     assert got == [(0, "pending"), (300, "firing"), (420, "resolved"), (600, "pending"), (900, "pending")]
     now = series.alert_states(df, ["rule"], 60, 0, until=epoch(900))
     assert sorted((r.at - epoch(0), r.state) for r in now.collect()) == [

@@ -53,7 +53,7 @@ def test_alert_state_survives_restarts_and_equals_batch(spark, tmp_path):
     finally:
         spark.conf.set(PROVIDER, before)
     got = sorted((r.at - base, r.state) for r in spark.read.parquet(out).collect())
-    batch = series.alert_states(df.where("breach").select("key", "t"), ["key"], 60, 300).collect()
+    batch = series.alert_states(df.where("breach").select("key", "t"), ["key"], 60, 300, until=base + 60 * 23).collect()
     assert got == sorted((r.at - base, r.state) for r in batch)
     assert (300, "firing") in got and (420, "resolved") in got
 
