@@ -1,15 +1,17 @@
 """Token ids of whole texts by the tokenizers library, a word at a time and remembered.
 
 A pre-token never spans a space that follows something other than white space, so a text without
-white space before a space is encoded piece by piece; other texts go to the library whole.
+white space before a space is encoded piece by piece; other texts go to the library whole. Where no
+white space adjoins other, a line break stands alone too. The word-level vocabulary drops white space
+and case, so there a line break is a space and plain texts are lower-cased before they are cut.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
-import numpy as np
 import regex
 
 #: Pieces and pre-tokens that a worker remembers at most.
@@ -18,6 +20,7 @@ REMEMBERED = 600_000
 #: changed by normalisation form C.
 PLAIN = regex.compile("[\\x00-\\u024f]*")
 GAP = regex.compile(r"\s\x20")
+RUN = regex.compile(r"\s\s")
 # The pre-token patterns of the two vocabularies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -52,34 +55,50 @@ class Encoder:
         self.byte_level = self.whole.normalizer is None if byte_level is None else byte_level
         self.pattern = regex.compile(BYTE_LEVEL if self.byte_level else WORD_LEVEL)
         self.visible = _visible_bytes()
-        self.kind = f"<u{width}"
+        self.kind, self.space = {2: "H", 4: "I"}[width], chr(self.visible[32])
         self.parts = _Pieces(self._part)
-        self.first = _Pieces(lambda piece: self._piece(piece))
-        self.rest = _Pieces(lambda piece: self._piece(" " + piece))
+        self.first = _Pieces(self._piece)
+        self.rest = _Pieces(lambda piece: self._piece(piece, " "))
 
     def _part(self, part: str) -> bytes:
-        shown = part.encode().decode("latin-1").translate(self.visible)
-        return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not PLAIN.fullmatch(piece):
-            return self._library(piece)
-        return b"".join(map(self.parts.__getitem__, self.pattern.findall(piece if self.byte_level else piece.lower())))
+        if part.isascii() and part.isprintable():
+            shown = part.replace(" ", self.space)
+        else:
+            shown = part.encode().decode("latin-1").translate(self.visible)
+        return array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _piece(self, piece: str, lead: str = "") -> bytes:
+        if not (piece.isascii() or PLAIN.fullmatch(piece)):
+            return self._library(lead + piece)
+        piece = piece if self.byte_level else piece.lower()
+        if piece.isalpha():
+            return self.parts[lead + piece]
+        if piece[:-1].isalpha() and piece[-1] in ",.;:!?":
+            return self.parts[lead + piece[:-1]] + self.parts[piece[-1]]
+        return b"".join(map(self.parts.__getitem__, self.pattern.findall(lead + piece)))
 
     def _library(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.kind, self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not isinstance(text, str) or not text:
             return b""
-        if self.byte_level and GAP.search(text):
-            return self._library(text)
-        pieces = text.split(" ")
-        ids = self.first[pieces[0]] + b"".join(map(self.rest.__getitem__, pieces[1:]))
         for known in (self.first, self.rest, self.parts):
             if len(known) > REMEMBERED:
                 known.clear()
-        return ids
+        if not self.byte_level:
+            if PLAIN.fullmatch(text):
+                text = text.lower().replace("\n", " ")
+            return b"".join(map(self.first.__getitem__, text.split(" ")))
+        if GAP.search(text):
+            return self._library(text)
+        if RUN.search(text):
+            return self._line(text)
+        return self.first["\n"].join(map(self._line, text.split("\n")))
+
+    def _line(self, line: str) -> bytes:
+        pieces = line.split(" ")
+        return self.first[pieces[0]] + b"".join(map(self.rest.__getitem__, pieces[1:]))
 
 
 @lru_cache(maxsize=4)
