@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.operators.series import at_instants, label_match
+from plumbline.operators.ordered import previous_row
+from plumbline.operators.series import at_instants, by_bucket, label_match
 
 # Patterns of the shipping rules and of the error and warning panels.
 LEVEL = r"(?i)(debug|info|warn(?:ing)?|error|critical|fatal)"
@@ -21,6 +22,7 @@ ERROR_RATE = r"(?i)(error|exception|critical|fatal)"
 WARNINGS = r"(?i)(warn|warning)"
 NOT_WARNINGS = r"(?i)(error|critical|fatal)"
 
+STEPS_PER_SLICE = 10_000
 ENVELOPE = T.StructType([T.StructField("log", T.StringType()), T.StructField("stream", T.StringType())])
 
 
@@ -101,17 +103,23 @@ def ship(df: DataFrame) -> DataFrame:
 
 def line_rate(df: DataFrame, by: Sequence[str], range_s: int, step_s: int, ts: str = "ts") -> DataFrame:
     """Lines per second at each instant: the count divided by the length of the range."""
-    inside = at_instants(df.select(*by, ts), range_s, step_s, ts)
-    return inside.groupBy(*by, "t").agg((F.count(F.lit(1)) / F.lit(float(range_s))).alias("value"))
+    buckets = by_bucket(df.select(*by, ts), by, range_s, step_s, [F.count(F.lit(1)).alias("__n")], ts)
+    return at_instants(buckets, range_s, step_s).groupBy(*by, "t").agg((F.sum("__n") / F.lit(float(range_s))).alias("value"))
 
 
 def count_over_time(df: DataFrame, by: Sequence[str], step_s: int = 60, ts: str = "ts") -> DataFrame:
     """Lines per step and label, with zero rows for the empty steps between the first and the last line."""
-    inside = at_instants(df.select(*by, ts), step_s, step_s, ts)
-    counts = inside.groupBy(*by, "t").agg(F.count(F.lit(1)).alias("lines"))
-    spans = counts.groupBy(*by).agg(F.min("t").alias("__a"), F.max("t").alias("__b"))
-    full = spans.select(*by, F.explode(F.sequence("__a", "__b", F.lit(step_s).cast("bigint"))).alias("t"))
-    return full.join(counts, [*by, "t"], "left").select(*by, "t", F.coalesce("lines", F.lit(0)).alias("lines"))
+    counts = by_bucket(df.select(*by, ts), by, step_s, step_s, [F.count(F.lit(1)).alias("lines")], ts)
+    counts = counts.select(*by, F.col("__end").alias("t"), "lines")
+    sliced = counts.withColumn("__slice", F.floor(F.col("t") / (step_s * STEPS_PER_SLICE)))
+    before = previous_row(sliced, by, "__slice", ["t"], ["t"])
+    # Gaps are cut into runs of steps first, so that no array grows with the length of a silence.
+    step, width = F.lit(step_s).cast("bigint"), F.lit(step_s * STEPS_PER_SLICE).cast("bigint")
+    gaps = before.where(F.col("prev.t") < F.col("t") - step_s).select(*by, F.col("prev.t").alias("__a"), F.col("t").alias("__b"))
+    runs = gaps.select(*by, "__b", F.explode(F.sequence(F.col("__a") + step_s, F.col("__b") - step_s, width)).alias("__a"))
+    last = F.least(F.col("__a") + width - step, F.col("__b") - step)
+    empty = runs.select(*by, F.explode(F.sequence("__a", last, step)).alias("t"), F.lit(0).cast("bigint").alias("lines"))
+    return counts.unionByName(empty)
 
 
 def stalls(counts: DataFrame, by: Sequence[str]) -> DataFrame:

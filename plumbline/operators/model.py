@@ -112,6 +112,13 @@ FITTERS: dict[str, Callable[..., Model]] = {
     "random_forest": fit_forest,
 }
 
+
+def fit_with_validation(kind: str, train: DataFrame, val: DataFrame, features: Sequence[str], label: str, params: dict) -> Model:
+    """Boosted trees stop early on the validation rows; the other kinds have no rounds to stop."""
+    held = {"validation": val} if kind == "boosted_trees" else {}
+    return FITTERS[kind](train, features, label, **held, **params)
+
+
 # Search spaces: parameter -> (kind, low, high).
 SPACES: dict[str, dict[str, tuple[str, float, float]]] = {
     "logistic_regression": {"c": ("log", 1e-4, 10.0)},
@@ -203,7 +210,7 @@ def search(
     train, val = (df.select(*features, label).persist() for df in (train, val))
 
     def one(i: int) -> tuple[int, float, float]:
-        row = evaluate(val, FITTERS[kind](train, features, label, **drawn[i]), features, label).first()
+        row = evaluate(val, fit_with_validation(kind, train, val, features, label, drawn[i]), features, label).first()
         return i, row.auc, row.ks
 
     try:
@@ -224,13 +231,15 @@ def refit(
     train: DataFrame, val: DataFrame, kind: str, features: Sequence[str], label: str, params: dict
 ) -> tuple[Model, DataFrame]:
     """Model with the best parameters and its validation auc and ks."""
-    model = FITTERS[kind](train, features, label, **params)
+    model = fit_with_validation(kind, train, val, features, label, params)
     return model, evaluate(val, model, features, label).select(F.lit(kind).alias("model"), F.col("auc").alias("val_auc"), F.col("ks").alias("val_ks"))
 
 
-def linear_attribution(df: DataFrame, model: Model, features: Sequence[str]) -> DataFrame:
-    """coef * (x - mean) per row, averaged as absolute values per feature: exact for a linear model."""
-    means = df.agg(*[F.avg(f).alias(f) for f in features]).first()
+def linear_attribution(df: DataFrame, model: Model, features: Sequence[str], background: DataFrame) -> DataFrame:
+    """coef * (x - mean) per row, averaged as absolute values per feature: exact for a linear model.
+
+    The means are those of `background`, the rows the model was trained on."""
+    means = background.agg(*[F.avg(f).alias(f) for f in features]).first()
     coefs = model.coefficients
     pairs = [
         F.struct(

@@ -8,6 +8,7 @@ are found per (series, time slice).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,14 +49,26 @@ def select_series(df: DataFrame, matchers: Sequence[tuple[str, str, str]], label
     return df
 
 
-def at_instants(df: DataFrame, range_s: int, step_s: int, ts: str = "ts") -> DataFrame:
-    """Each row once per instant t (a multiple of step_s) whose range (t - range_s, t] holds it."""
-    step, span = step_s * 1_000_000, range_s * 1_000_000
+def by_bucket(df: DataFrame, by: Sequence[str], range_s: int, step_s: int, partial: Sequence[Column], ts: str = "ts") -> DataFrame:
+    """`partial` aggregates per series and bucket, a bucket ending at __end (epoch seconds).
+
+    Buckets are as wide as the greatest common divisor of range and step, so every range is a whole
+    number of them and rows are aggregated once, however many ranges hold them. `__us` is the time of a row.
+    """
+    width = math.gcd(range_s, step_s)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    first, last = f"(__us + {step - 1}) div {step}", f"(__us + {span + step - 1}) div {step} - 1"
-    at = df.withColumn("__us", us).where(F.expr(f"{first} <= {last}"))
-    grid = F.expr(f"sequence(({first}) * {step_s}, ({last}) * {step_s}, {step_s})")
-    return at.select(*df.columns, F.explode(grid).alias("t"), "__us")
+    past = F.pmod("__us", F.lit(width * 1_000_000))
+    end = (F.col("__us") - past) / 1_000_000 + F.when(past > 0, width).otherwise(0)
+    timed = df.withColumn("__us", us).where("__us IS NOT NULL").withColumn("__end", end.cast("bigint"))
+    return timed.groupBy(*by, "__end").agg(*partial)
+
+
+def at_instants(buckets: DataFrame, range_s: int, step_s: int) -> DataFrame:
+    """Each bucket once per instant t (a multiple of step_s) whose range (t - range_s, t] holds it."""
+    first = F.ceil(F.col("__end") / step_s)
+    last = F.ceil((F.col("__end") + range_s) / step_s) - 1
+    grid = F.sequence(first * step_s, last * step_s, F.lit(step_s).cast("bigint"))
+    return buckets.where(first <= last).withColumn("t", F.explode(grid)).drop("__end")
 
 
 def with_increase(
@@ -85,11 +98,18 @@ def rate(
 
     At least two samples are needed. No extrapolation to the edges of the range.
     """
-    inside = at_instants(with_increase(df, by, ts, value, times), range_s, step_s, ts)
-    out = inside.groupBy(*by, "t").agg(
-        F.count(F.lit(1)).alias("samples"),
-        (F.sum("increase") - F.coalesce(F.min_by("increase", "__us"), F.lit(0.0))).alias("__up"),
-        (F.max("__us") - F.min("__us")).alias("__span"),
+    partial = [
+        F.count(F.lit(1)).alias("__n"),
+        F.sum("increase").alias("__up"),
+        F.min_by("increase", "__us").alias("__first"),
+        F.min("__us").alias("__from"),
+        F.max("__us").alias("__to"),
+    ]
+    rows = with_increase(df, by, ts, value, times)
+    out = at_instants(by_bucket(rows, by, range_s, step_s, partial, ts), range_s, step_s).groupBy(*by, "t").agg(
+        F.sum("__n").alias("samples"),
+        (F.sum("__up") - F.coalesce(F.min_by("__first", "__from"), F.lit(0.0))).alias("__up"),
+        (F.max("__to") - F.min("__from")).alias("__span"),
     )
     return out.where((F.col("samples") >= 2) & (F.col("__span") > 0)).select(
         *by, "t", (F.col("__up") * 1e6 / F.col("__span")).alias("value")
@@ -103,18 +123,20 @@ def changes(
     sliced = df.withColumn(SLICE, order_slices(df, ts))
     out = previous_row(sliced, by, SLICE, [ts], [value])
     moved = (F.col("prev").isNotNull() & ~F.col(f"prev.{value}").eqNullSafe(F.col(value))).cast("bigint")
-    inside = at_instants(out.withColumn("__moved", moved), range_s, step_s, ts)
-    return inside.groupBy(*by, "t").agg((F.sum("__moved") - F.min_by("__moved", "__us")).alias("value"))
+    partial = [F.sum("__m").alias("__moved"), F.min_by("__m", "__us").alias("__first"), F.min("__us").alias("__from")]
+    buckets = by_bucket(out.withColumn("__m", moved), by, range_s, step_s, partial, ts)
+    inside = at_instants(buckets, range_s, step_s)
+    return inside.groupBy(*by, "t").agg((F.sum("__moved") - F.min_by("__first", "__from")).alias("value"))
 
 
 def last_over_time(
     df: DataFrame, by: Sequence[str], fields: Sequence[str], range_s: int, step_s: int, ts: str = "ts"
 ) -> DataFrame:
     """Latest non-NULL value of each field per series and instant."""
-    inside = at_instants(df, range_s, step_s, ts)
-    return inside.groupBy(*by, "t").agg(
-        *[F.max_by(f, F.when(F.col(f).isNotNull(), F.col("__us"))).alias(f) for f in fields]
-    )
+    seen = {f: F.when(F.col(f).isNotNull(), F.col("__us")) for f in fields}
+    partial = [c for f in fields for c in (F.max_by(f, seen[f]).alias(f), F.max(seen[f]).alias(f"__at_{f}"))]
+    inside = at_instants(by_bucket(df, by, range_s, step_s, partial, ts), range_s, step_s)
+    return inside.groupBy(*by, "t").agg(*[F.max_by(f, f"__at_{f}").alias(f) for f in fields])
 
 
 REDUCERS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES = 8192
+ROWS_PER_SLICE = 100_000
 
 
 def hash_order(keys: Sequence[str], seed: int) -> tuple[Column, int]:
@@ -34,7 +35,7 @@ def _cuts(df: DataFrame, by: Column, keys: Sequence[str], order: tuple[Column, i
     `counts`, columns that are functions of the class size __n. A rank of 0 gives NULL.
     """
     h, modulus = order
-    width = -(-modulus // SLICES)
+    width = -(-modulus // max(SLICES, df.count() // ROWS_PER_SLICE))  # slices follow the rows
     narrow = df.select(by.alias("__class"), h.alias("__h"), *keys).withColumn("__slice", F.expr(f"__h div {width}"))
     sizes = narrow.groupBy("__class", "__slice").agg(F.count(F.lit(1)).alias("__c"))
     so_far = Window.partitionBy("__class").orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)

@@ -9,6 +9,7 @@ from plumbline.operators import model, prep
 from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
 from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
+from plumbline.session import shared_dir
 
 FEATURES_USED = NUMBERS
 
@@ -19,10 +20,17 @@ def train_and_rest(spark, sf_dir):
 
 
 def matrices(spark, sf_dir):
-    """Standardised splits with row id, label and split name."""
-    df = split_lines(spark, sf_dir).withColumn(S.ROW_ID, F.xxhash64(*LINE_KEY))
+    """Standardised splits with row id, label and split name, each layer computed once."""
+    df = split_lines(spark, sf_dir).select(F.xxhash64(*LINE_KEY).alias(S.ROW_ID), "y", "split", *NUMBERS)
+    df = written(df, "splits")
     fitted = prep.fit(df.where(F.col("split") == "train"), NUMBERS)
-    return fitted.transform(df, [S.ROW_ID, "y", "split"])
+    return written(fitted.transform(df, [S.ROW_ID, "y", "split"]), "matrices")
+
+
+def written(df, name):
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def part(df, name):
@@ -39,14 +47,14 @@ def logistic_regression(spark, sf_dir):
 @query("T2, T3, T4")
 def boosted_trees(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    fitted = model.fit_boosted(part(data, "train"), FEATURES_USED, "y", part(data, "val"), rounds=10, depth=4)
+    fitted = model.fit_boosted(part(data, "train"), FEATURES_USED, "y", part(data, "val"))
     return model.evaluate(data, fitted, FEATURES_USED, "y", ["split"])
 
 
 @query("T2")
 def random_forest(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    fitted = model.fit_forest(part(data, "train"), FEATURES_USED, "y", trees=10, depth=4)
+    fitted = model.fit_forest(part(data, "train"), FEATURES_USED, "y")
     return model.evaluate(data, fitted, FEATURES_USED, "y", ["split"])
 
 
@@ -65,13 +73,13 @@ def class_weights(spark, sf_dir):
 @query("T5")
 def cross_validation(spark, sf_dir):
     data = part(matrices(spark, sf_dir), "train")
-    return model.cross_validate(data, "logistic_regression", FEATURES_USED, "y", [S.ROW_ID], k=3, max_iter=20)
+    return model.cross_validate(data, "logistic_regression", FEATURES_USED, "y", [S.ROW_ID], k=3)
 
 
 @query("T6")
 def parameter_search(spark, sf_dir):
     data = matrices(spark, sf_dir)
-    trials, _ = model.search(part(data, "train"), part(data, "val"), "logistic_regression", FEATURES_USED, "y", trials=3)
+    trials, _ = model.search(part(data, "train"), part(data, "val"), "logistic_regression", FEATURES_USED, "y")
     return trials.select("model", "trial", "val_auc", "val_ks", F.element_at("params", "c").alias("c"), "best")
 
 
@@ -79,8 +87,8 @@ def parameter_search(spark, sf_dir):
 def refitted_model(spark, sf_dir):
     data = matrices(spark, sf_dir)
     train, val = part(data, "train"), part(data, "val")
-    _, best = model.search(train, val, "random_forest", FEATURES_USED, "y", trials=2, space={"trees": ("int", 3, 6), "depth": ("int", 2, 4)})
-    return model.refit(train, val, "random_forest", FEATURES_USED, "y", best)[1]
+    _, best = model.search(train, val, "logistic_regression", FEATURES_USED, "y")
+    return model.refit(train, val, "logistic_regression", FEATURES_USED, "y", best)[1]
 
 
 @query("T8")
@@ -104,7 +112,7 @@ def predictions_attached(spark, sf_dir):
 def linear_attribution(spark, sf_dir):
     data = matrices(spark, sf_dir)
     fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
-    return model.linear_attribution(part(data, "val"), fitted, FEATURES_USED)
+    return model.linear_attribution(part(data, "val"), fitted, FEATURES_USED, part(data, "train"))
 
 
 @query("T10")

@@ -118,8 +118,8 @@ def latest_upserted(spark, sf_dir):
     stream, _ = as_stream(plain_events(spark, sf_dir), "events")
     by, out = ["event_type", "user_id"], shared_dir(spark, "latest")
     newest = jobs.latest_values(stream, by, ["value"])
-    jobs.run_batches(newest, jobs.upsert_to(out), shared_dir(spark, "latest-checkpoint"), "update").awaitTermination()
-    return jobs.read_upserted(spark, out, by, ["value"]).drop("ts")
+    jobs.run_batches(newest, jobs.upsert_to(out, by, ["value"]), shared_dir(spark, "latest-checkpoint"), "update").awaitTermination()
+    return jobs.read_upserted(spark, out).drop("ts")
 
 
 @query("ST7, T8")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,20 +70,49 @@ def latest_values(stream: DataFrame, by: Sequence[str], fields: Sequence[str], t
     return stream.groupBy(*by).agg(F.max(F.struct(ts, *fields)).alias("__n")).select(*by, "__n.*")
 
 
-def upsert_to(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that stores the changed series of each micro-batch; a replayed batch replaces itself."""
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows with bucket and version as numbers."""
+    return spark.read.parquet(path).withColumns({"bucket": F.col("bucket").cast("int"), "version": F.col("version").cast("bigint")})
+
+
+def upsert_to(path: str, by: Sequence[str], fields: Sequence[str], ts: str = "ts", buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Batch writer that merges each micro-batch into a table of one row per key.
+
+    Keys are cut into buckets; a batch rewrites the buckets it touches as a new version beside the old
+    one, so readers never see half a bucket and a replayed batch writes the same version again.
+    """
 
     def write(changed: DataFrame, batch: int) -> None:
-        changed.withColumn("batch", F.lit(batch)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(path)
+        spark = changed.sparkSession
+        new = changed.select(*by, ts, *fields, F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int").alias("bucket")).persist()
+        try:
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most `buckets`
+            if not touched:
+                return
+            merged = new
+            try:
+                old = _versions(spark, path).where(F.col("bucket").isin(touched) & (F.col("version") < batch))
+                newest = old.groupBy("bucket").agg(F.max("version").alias("version"))
+                merged = new.unionByName(old.join(newest, ["bucket", "version"]).drop("version"))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+            latest = merged.groupBy("bucket", *by).agg(F.max(F.struct(ts, *fields)).alias("__n"))
+            rows = latest.select(*by, "__n.*", "bucket", F.lit(batch).alias("version"))
+            rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "bucket", "version"
+            ).parquet(path)
+        finally:
+            new.unpersist()
 
     return write
 
 
-def read_upserted(spark: SparkSession, path: str, by: Sequence[str], fields: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Current value per series of a table written by upsert_to."""
-    return latest_values(spark.read.parquet(path), by, fields, ts)
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """Current value per key of a table written by upsert_to: the newest version of each bucket."""
+    rows = _versions(spark, path)
+    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["bucket", "version"]).drop("bucket", "version")
 
 
 def without_duplicates(stream: DataFrame, keys: Sequence[str], delay: str = "1 hour", ts: str = "ts") -> DataFrame:

@@ -84,6 +84,28 @@ def test_count_over_time_fills_gaps(spark):
     assert sorted(r.t - epoch(0) for r in logs.stalls(counts, ["name"]).collect()) == [120, 180]
 
 
+def test_long_silence_and_uneven_ranges(spark, monkeypatch):
+    monkeypatch.setattr(logs, "STEPS_PER_SLICE", 7)
+    df = samples(spark, [(10, 1), (6000, 1)])
+    counts = logs.count_over_time(df, ["name"], 60).collect()
+    assert sorted(r.t - epoch(0) for r in counts) == list(range(60, 6001, 60)) and sum(r.lines for r in counts) == 2
+    points = [(7 * i % 900, i % 5) for i in range(90)]
+    rows = samples(spark, points)
+    got = {r.t - epoch(0): r.value * 90 for r in logs.line_rate(rows, ["name"], 90, 60).collect()}
+    want = {t: sum(t - 90 < s <= t for s, _ in points) for t in range(0, 1080, 60)}
+    assert {t: round(v) for t, v in got.items()} == {t: n for t, n in want.items() if n}
+    last = {r.t - epoch(0): r.value for r in series.last_over_time(rows, ["name"], ["value"], 90, 60).collect()}
+    assert last == {t: max((s, v) for s, v in points if t - 90 < s <= t)[1] for t in got}
+
+
+def test_rows_before_the_first_shuffle_do_not_grow_with_the_range(spark):
+    df = spark.range(1000).selectExpr("'s' name", "timestamp_seconds(1704067200 + id) ts", "cast(id as double) value")
+    plan = logs.line_rate(df, ["name"], 48 * 3600, 60)._jdf.queryExecution().executedPlan().toString()
+    lines_of = plan.splitlines()
+    first = max(i for i, text in enumerate(lines_of) if "Exchange" in text)
+    assert not any("Generate" in text for text in lines_of[first:])
+
+
 def test_shipping_rules(spark):
     rows = [
         ("true", "/api", '{"log":"WARNING: slow\\n","stream":"stderr"}'),

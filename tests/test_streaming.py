@@ -66,9 +66,11 @@ def test_upsert_keeps_the_newest_and_replays_replace(spark, tmp_path):
     for n, df in enumerate((one, two)):
         land(df, path, n)
         newest = jobs.latest_values(stream_of(spark, path, df.schema), ["k"], ["v"])
-        jobs.run_batches(newest, jobs.upsert_to(out), mark, "update").awaitTermination()
-    jobs.upsert_to(out)(spark.createDataFrame([("b", T0, 2)], schema), 0)
-    assert {r.k: r.v for r in jobs.read_upserted(spark, out, ["k"], ["v"]).collect()} == {"a": 3, "b": 2}
+        jobs.run_batches(newest, jobs.upsert_to(out, ["k"], ["v"]), mark, "update").awaitTermination()
+    jobs.upsert_to(out, ["k"], ["v"])(two, 1)
+    assert {r.k: r.v for r in jobs.read_upserted(spark, out).collect()} == {"a": 3, "b": 2}
+    jobs.upsert_to(out, ["k"], ["v"])(spark.createDataFrame([("b", T0 + dt.timedelta(2), 7)], schema), 2)
+    assert sorted((r.k, r.v) for r in jobs.read_upserted(spark, out).collect()) == [("a", 3), ("b", 7)]
 
 
 def test_null_gate_sends_a_batch_to_the_error_sink(spark, tmp_path):
