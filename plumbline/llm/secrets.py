@@ -63,17 +63,27 @@ def patterns(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", F.array_sort(F.concat(assigned, "_1", "_2")).alias("base"))
 
 
+def least(docs: DataFrame, kind: Column) -> DataFrame:
+    """doc_id and text of the SAMPLE_DOCS rows of a kind with the least hash, equal rows once.
+
+    Hashes are ranked without the texts; the texts of those up to the last one are read after that.
+    """
+    place = F.struct(F.xxhash64("doc_id", "text").alias("h"), F.col("doc_id").alias("id"))
+    last = docs.where(kind).select(place.alias("at")).orderBy("at").limit(SAMPLE_DOCS).agg(F.max("at")).scalar()
+    near = docs.select("doc_id", "text", place.alias("at")).where(F.col("at") <= last)
+    return near.where(kind).dropDuplicates(["at"]).select("doc_id", "text")
+
+
 def samples(docs: DataFrame) -> DataFrame:
     """(value, secret): values of pattern matches, and words of WORD or more characters of texts without any.
 
     Drawn from at most SAMPLE_DOCS documents of each kind, those of the least hash of doc_id and text.
     """
-    order = [F.xxhash64("doc_id", "text"), F.col("doc_id")]
     text = F.coalesce("text", F.lit(""))
     has = F.rlike(text, F.lit("|".join((ASSIGN, ACCESS, HEX))))
-    secret = patterns(docs.where(has).orderBy(*order).limit(SAMPLE_DOCS)).select(F.explode("base").alias("s"))
+    secret = patterns(least(docs, has)).select(F.explode("base").alias("s"))
     secret = secret.select(F.when(F.col("s.rank") == 0, F.regexp_extract("s.value", ASSIGN, 2)).otherwise(F.col("s.value")).alias("value"), F.lit(True).alias("secret"))
-    plain = docs.where(~has).orderBy(*order).limit(SAMPLE_DOCS)
+    plain = least(docs, ~has)
     words = F.regexp_extract_all("text", F.lit(f"{TOKEN}{{{WORD},}}"), F.lit(0))
     return secret.unionByName(plain.select(F.explode(words).alias("value"), F.lit(False).alias("secret")))
 
