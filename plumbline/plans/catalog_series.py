@@ -183,6 +183,27 @@ def alert_text(spark, sf_dir):
     return one.select("event_type", text.alias("description"))
 
 
+def digits_sql(x):
+    """Four significant digits of x (0.1 up to 1000) without trailing zeros."""
+    text = f"CASE WHEN {x} >= 100 THEN printf('%.1f', {x}) WHEN {x} >= 10 THEN printf('%.2f', {x}) WHEN {x} >= 1 THEN printf('%.3f', {x}) ELSE printf('%.4f', {x}) END"
+    return f"rtrim(rtrim({text}, '0'), '.')"
+
+
+@query(
+    "TS11",
+    f"""WITH s AS (SELECT event_type, sum(user_id)::double AS v, count(*) * 100.0::double / (SELECT count(*) FROM events) AS pct FROM events GROUP BY 1),
+    u AS (SELECT *, CASE WHEN v >= 1e9 THEN v / 1e9::double WHEN v >= 1e6 THEN v / 1e6::double WHEN v >= 1e3 THEN v / 1e3::double ELSE v END AS x,
+        CASE WHEN v >= 1e9 THEN 'G' WHEN v >= 1e6 THEN 'M' WHEN v >= 1e3 THEN 'k' ELSE '' END AS unit FROM s)
+    SELECT event_type, {digits_sql('x')} || unit || ' in ' || {digits_sql('pct')} || '%' AS description FROM u""",
+)
+def humanized_text(spark, sf_dir):
+    """Annotation with a scaled number and a percentage."""
+    df = events(spark, sf_dir)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    one = df.groupBy("event_type").agg(F.sum("user_id").cast("double").alias("v"), (F.count(F.lit(1)) / total).alias("share"))
+    return one.select("event_type", F.concat(C.human_number("v"), F.lit(" in "), C.percent_text("share")).alias("description"))
+
+
 @query("TS12", f"WITH {COUNTER_SQL} SELECT DISTINCT shard AS value FROM cnt ORDER BY 1")
 def label_values(spark, sf_dir):
     return series.label_values(counter(spark, sf_dir), series.label("shard"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,13 @@ def run(
     date: str,
     mode: str = "training",
     min_rows: int = S.MIN_TRAINING_ROWS,
+    key: Sequence[str] = (),
 ) -> Layers:
     """Both layers of one date; other dates below root are left alone.
 
+    `key` names typed columns that identify a row: ids of scoring rows are then the same however the
+    rows are laid out. Without it they are only unique.
+
     The row gate of the typed layer is checked on the rows just written; a date that fails is
     reported before the feature layer is built.
     """
@@ -47,6 +52,6 @@ def run(
     typed_rows = _write_counted(clean.clean(files.read_csv(spark, raw_path), mode), typed_root, date)
     _check(typed_rows, min_rows, mode, "typed")
     typed = files.read_partition(spark, typed_root, date).drop(S.PARTITION)
-    feature_rows = _write_counted(clean.feature_table(typed, mode), feature_root, date)
+    feature_rows = _write_counted(clean.feature_table(typed, mode, key), feature_root, date)
     _check(feature_rows, min_rows, mode, "feature")
     return Layers(typed_root, feature_root, typed_rows, feature_rows)
