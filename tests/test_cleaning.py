@@ -91,6 +91,15 @@ def test_medallion_keeps_other_dates(spark, raw, tmp_path):
     assert medallion.run(spark, raw, str(tmp_path / "inference"), "2024-01-01", mode="inference").feature_rows == 5
 
 
+def test_row_ids_with_a_key_do_not_follow_the_layout(spark, raw, tmp_path):
+    key = ["age", "revolving_utilization_of_unsecured_lines"]
+    typed = clean.clean(files.read_csv(spark, raw), "inference")
+    ids = lambda df: sorted((r.age, r[S.ROW_ID]) for r in clean.feature_table(df, "inference", key).collect())
+    assert ids(typed) == ids(typed.repartition(5, "debt_ratio"))
+    done = medallion.run(spark, raw, str(tmp_path / "keyed"), "2024-01-01", "inference", key=key)
+    assert sorted((r.age, r[S.ROW_ID]) for r in spark.read.parquet(done.features).collect()) == ids(typed)
+
+
 def test_partition_filter_prunes_directories(spark, raw, tmp_path):
     done = medallion.run(spark, raw, str(tmp_path / "layers"), "2024-01-01", min_rows=1)
     plan = files.read_partition(spark, done.typed, "2024-01-01")._jdf.queryExecution().executedPlan().toString()

@@ -133,6 +133,8 @@ def test_trees_learn_and_stop_early(labelled):
     held = df.withColumn("y", (F.xxhash64("row_id", F.lit(7)) % 2 == 0).cast("int"))
     stopped = model.fit_boosted(noise, ["a", "b"], "y", held, 1.0, rounds=30, depth=4, rate=0.5)
     assert stopped.getNumTrees < 30
+    params = {"rounds": 30, "depth": 4, "rate": 0.5, "positive_weight": 1.0}
+    assert model.refit(noise, held, "boosted_trees", ["a", "b"], "y", params)[0].getNumTrees == stopped.getNumTrees
 
 
 def test_search_is_seeded_and_folds_are_averaged(labelled):
