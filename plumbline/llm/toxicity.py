@@ -104,15 +104,19 @@ def fit(x: np.ndarray, y: np.ndarray, change: np.ndarray, l2: float, swap: float
     """Weights and intercept of a logistic model by accelerated gradient descent.
 
     mean log loss + l2 / 2 |w|^2 + swap / 2 mean (change @ w)^2, change being what a swap adds to x.
+    Both matrices are 32-bit; products take 32-bit vectors, else numpy copies the matrices to 64 bits.
     """
     n, k = x.shape
     w, b, at, at_b, t = np.zeros(k), 0.0, np.zeros(k), 0.0, 1.0
     m = max(1, len(change))
 
+    def times(a: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return (a @ v.astype(np.float32)).astype(np.float64)
+
     def norm(a: np.ndarray) -> float:
         v = np.ones(a.shape[1]) / a.shape[1] ** 0.5
         for _ in range(20):
-            v = a.T @ (a @ v)
+            v = times(a.T, times(a, v))
             size = np.linalg.norm(v)
             if not size:
                 return 0.0
@@ -121,8 +125,8 @@ def fit(x: np.ndarray, y: np.ndarray, change: np.ndarray, l2: float, swap: float
 
     step = 1 / (0.25 * (norm(x) * 1.05 / n + 1) + l2 + swap * norm(change) * 1.05 / m)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ at + at_b, -30, 30)))
-        gradient = x.T @ (p - y) / n + l2 * at + swap * (change.T @ (change @ at)) / m
+        p = 1 / (1 + np.exp(-np.clip(times(x, at) + at_b, -30, 30)))
+        gradient = times(x.T, p - y) / n + l2 * at + swap * times(change.T, times(change, at)) / m
         new, new_b = at - step * gradient, at_b - step * float((p - y).mean())
         t, was = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         at, at_b = new + (was - 1) / t * (new - w), new_b + (was - 1) / t * (new_b - b)
