@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from plumbline import schema as S
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name of NULL
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Every column as text, header row, no inference; an unnamed first column becomes _c0."""
@@ -61,21 +64,21 @@ def write_splits(df: DataFrame, root: str, features: Sequence[str], target: str,
     ).partitionBy(split).parquet(root)
 
 
-def partitions(spark: SparkSession, root: str, column: str = S.PARTITION) -> DataFrame:
-    """Distinct partition values. Only the partition column is read, so no data page is touched."""
-    return spark.read.parquet(root).select(F.col(column).cast("string").alias(column)).distinct()
+def partitions(spark: SparkSession, root: str, column: str = S.PARTITION) -> list[str]:
+    """Partition values by the names of the folders directly below root; no file is listed or opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    entries = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    names = [e.getPath().getName() for e in entries if e.isDirectory()]
+    values = [unquote(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=")]
+    return [v for v in values if v != NULL_PARTITION]
 
 
 def latest_partition(spark: SparkSession, root: str, override: str = "", column: str = S.PARTITION) -> DataFrame:
     """One row: the override when given, else the lexically largest partition value; raises when none."""
-    newest = partitions(spark, root, column).agg(F.max(column).alias("newest"))
-    return newest.select(
-        F.coalesce(
-            F.nullif(F.lit(override), F.lit("")),
-            F.col("newest"),
-            F.raise_error(F.lit(f"no partitions below {root}")).cast("string"),
-        ).alias(column)
-    )
+    newest = override or max(partitions(spark, root, column), default=None)
+    if newest is None:
+        raise ValueError(f"no partitions below {root}")
+    return spark.createDataFrame([(newest,)], f"`{column}` string")
 
 
 def require_rows(df: DataFrame, what: str = "table") -> DataFrame:

@@ -112,6 +112,12 @@ def test_latest_partition(spark, tmp_path):
         files.write_partitioned(spark.range(3), root, date)
     assert files.latest_partition(spark, root).first()[0] == "2024-01-10"
     assert files.latest_partition(spark, root, "2020-01-01").first()[0] == "2020-01-01"
+    files.write_by(spark.sql("SELECT 1 AS x, explode(array(NULL, '2024:02')) AS ingestion_date"), root, ["ingestion_date"])
+    (tmp_path / "t" / "notes").mkdir()
+    assert sorted(files.partitions(spark, root)) == ["2023-12-31", "2024-01-09", "2024-01-10", "2024:02"]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no partitions"):
+        files.latest_partition(spark, str(tmp_path / "none"))
 
 
 def test_recursive_scan_takes_both_suffixes(spark, tmp_path):
