@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
 from plumbline.operators import split
-from plumbline.plans.registry import NUMBERS, events, lines, query, table
+from plumbline.plans.registry import LINE_KEY, LINE_ORDER, LINE_ORDER_SQL, NUMBERS, events, lines, query, table
 from plumbline.session import shared_dir
 from plumbline.sources import files, objects
 
@@ -112,14 +112,13 @@ def exact_sample(spark, sf_dir):
 
 @query(
     "S9",
-    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-    ORDER BY (o_orderkey * 7919) % 1000003, o_orderkey LIMIT 30000""",
+    f"""SELECT {', '.join(LINE_KEY)}, l_extendedprice FROM lineitem
+    ORDER BY {LINE_ORDER_SQL}, {', '.join(LINE_KEY)} LIMIT 30000""",
 )
 def exact_sample_large(spark, sf_dir):
-    """Above the top-n limit the cut is found by counting and the table is filtered."""
-    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    order = split.arithmetic_order({"o_orderkey": 7919})
-    return split.sample_n(df, 30_000, ["o_orderkey"], order=order)
+    """The cut is found by counting and the table is filtered."""
+    df = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_extendedprice")
+    return split.sample_n(df, 30_000, LINE_KEY, order=split.arithmetic_order(LINE_ORDER))
 
 
 @query(
@@ -218,5 +217,3 @@ def run_log(spark, sf_dir):
     rows = files.run_rows(stats, F.col("event_type"), "profile", "profiling", keys, {"layer": "bronze"})
     files.append_run_log(rows, path)
     return files.runs_wide(spark.read.parquet(path), keys)
-
-
