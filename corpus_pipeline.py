@@ -17,7 +17,7 @@ from plumbline.llm.common import ready, saved
 from plumbline.plans.registry import Query, table
 
 NEAR_PERCENT = 80
-ERROR_RATE, LEAST_WORDS = 0.15, 8
+ERROR_RATE = 0.15
 SITES = 10
 CAPACITY = 2048
 
@@ -44,7 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, decontaminate.found(docs, table(spark, sf_dir, "benchmark"), ERROR_RATE, LEAST_WORDS))
+    return _without(docs, decontaminate.found(docs, table(spark, sf_dir, "benchmark"), ERROR_RATE))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

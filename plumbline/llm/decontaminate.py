@@ -9,8 +9,9 @@ the least distance of the item to any passage.
 Items travel to the tasks in blocks of a fixed number of characters, one pass over the documents per
 block, so what a task holds does not grow with the test set. Documents are not shuffled.
 
-Null or empty texts match nothing, nor do items of fewer than `least_words` words. Repeated rows are
-judged each. A null id is kept as it is. Empty tables give no rows. Columns other than doc_id, item_id
+Every item with a word is searched; below 1 / rate words the budget is 0, so a short item is found where it
+stands word for word. Null texts and texts without words match nothing. `least_words` leaves out shorter
+items where a caller asks for it; no query does. Repeated rows are judged each. A null id is kept as it is. Empty tables give no rows. Columns other than doc_id, item_id
 and text are not read.
 """
 
@@ -80,7 +81,7 @@ class Items:
     """A block of test items, ready for lookups."""
 
     def __init__(self, rows: list[tuple[int, str]], rate: float, least_words: int):
-        self.rows = [(i, w, int(rate * len(w))) for i, w in ((i, normal(t)) for i, t in rows) if len(w) >= least_words]
+        self.rows = [(i, w, int(rate * len(w))) for i, w in ((i, normal(t)) for i, t in rows) if len(w) >= max(1, least_words)]
         found: dict[int, list[tuple[int, int, int]]] = {}
         for n, (_, own, budget) in enumerate(self.rows):
             hashes = words.hashed(own)
@@ -123,6 +124,8 @@ class Items:
                 got = passage(own, text[a:b], k)
                 if got and (best is None or got[0] < best[0]):
                     best = (got[0], a + got[1], a + got[2])
+                if best and not best[0]:
+                    break
             if best:
                 yield t, item_id, len(own), *best
 
@@ -141,7 +144,7 @@ def ranges(begins: list[int], m: int, k: int, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15, least_words: int = 8) -> DataFrame:
+def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15, least_words: int = 1) -> DataFrame:
     """doc_id, text_hash, item_id, n_words, distance, start_word, end_word: items found in documents."""
     ready(docs.sparkSession)
     texts = benchmark.where("text IS NOT NULL").select(numbered("item_id"), "text")

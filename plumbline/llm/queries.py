@@ -51,7 +51,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontaminate.found(docs, items, rate=0.15, least_words=8).drop("text_hash")
+    return decontaminate.found(docs, items, rate=0.15).drop("text_hash")
 
 
 @query(

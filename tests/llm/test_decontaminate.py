@@ -76,3 +76,21 @@ def test_repeats_nulls_and_empty_tables(spark, documents):
     got = run(spark, documents, [(1, text), (1, text), (None, "x " + text)], [(7, text), (None, text)])
     assert len(got) == 6 and sum(r["doc_id"] is None for r in got) == 2
     assert run(spark, documents, [], [(7, text)]) == [] and run(spark, documents, [(1, text)], []) == []
+
+
+def test_short_items_are_found_word_for_word(spark, documents, tmp_path):
+    import corpus_pipeline
+    from plumbline.llm import queries
+
+    items = [(1, "Which way, north?"), (2, "one two three four five six seven"), (3, "yes"), (4, "?!"), (5, "")]
+    rows = [(10, "a which way north b"), (11, "which north way"), (12, "one two three four x five six seven"), (13, "no, no - yes; yes"), (14, None), (15, "one two")]
+    rows += [(16, "ends in which"), (17, "way north begins")]  # no item across two documents
+    path = str(tmp_path)
+    docs = documents(rows)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    got = queries.QUERIES["op9_benchmark_decontamination"].plan(spark, path).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_words"], r["distance"]) for r in got} == brute(rows, items, 0.15, 1)
+    assert {tuple(r)[:2] + tuple(r)[4:] for r in got} == {(10, 1, 1, 4), (12, 2, 0, 8), (13, 3, 2, 3)}
+    left = corpus_pipeline.drop_contaminated(spark, docs, path).collect()
+    assert {r["doc_id"] for r in left} == {11, 14, 15, 16, 17}
