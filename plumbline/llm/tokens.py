@@ -4,6 +4,9 @@ A pre-token never spans a space that follows something other than white space, s
 white space before a space is encoded piece by piece; other texts go to the library whole. Where no
 white space adjoins other, a line break stands alone too. The word-level vocabulary drops white space
 and case, so there a line break is a space and plain texts are lower-cased before they are cut.
+
+A text that holds an added token (`<|endoftext|>`) goes to the library whole, which gives that token its one
+id, as the plain call with add_special_tokens=False does. With `literal` such a token is text like any other.
 """
 
 from __future__ import annotations
@@ -45,12 +48,13 @@ class _Pieces(dict):
 class Encoder:
     """encode(text): the ids as little-endian unsigned integers of `width` bytes."""
 
-    def __init__(self, path: str, byte_level: bool | None = None, width: int = 4):
+    def __init__(self, path: str, byte_level: bool | None = None, width: int = 4, literal: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = literal
+        self.added = [] if literal else [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.byte_level = self.whole.normalizer is None if byte_level is None else byte_level
         self.pattern = regex.compile(BYTE_LEVEL if self.byte_level else WORD_LEVEL)
@@ -86,6 +90,8 @@ class Encoder:
         for known in (self.first, self.rest, self.parts):
             if len(known) > REMEMBERED:
                 known.clear()
+        if any(token in text for token in self.added):
+            return self._library(text)
         if not self.byte_level:
             if PLAIN.fullmatch(text):
                 text = text.lower().replace("\n", " ")
@@ -104,4 +110,4 @@ class Encoder:
 @lru_cache(maxsize=4)
 def encoder(path: str, width: int = 4) -> Encoder:
     """One encoder for each worker process."""
-    return Encoder(path, width=width)
+    return Encoder(path, width=width, literal=False)

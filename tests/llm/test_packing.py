@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from plumbline.llm import packing
-from plumbline.llm.tokens import Encoder
+from plumbline.llm.tokens import Encoder, encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", None, "a", " ", "  a  b \n c\n\n d", "x's don't WE'LL", "日本語 é́", "Ωσς ΣΑΣ", "a b   c", "<|endoftext|> hi", "²½ª 12", "a\x1c b\x85 c"]
@@ -97,3 +97,17 @@ def test_sequences_hold_the_ids(documents):
 
 def test_empty_table(documents):
     assert packing.packed(documents([]), PATH).count() == 0
+
+
+def test_added_tokens_are_one_id_as_in_the_plain_call(documents):
+    rnd = random.Random(7)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "a", "É", "日本", "it's ", "B b"]
+    texts = ["a <|endoftext|> b", "a<|startoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> \n x"]
+    texts += ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(1000)] + [t or "" for t in ODD]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        whole = Tokenizer.from_file(path)
+        for text in texts:
+            assert encoder(path).encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    rows = packing.packed(documents([(1, "a <|endoftext|> b")]), PATH).collect()
+    assert [(r["length"], r["ids_crc32"]) for r in rows] == [(5, zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes()))]

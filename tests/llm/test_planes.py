@@ -41,3 +41,10 @@ def test_empty_table(spark, documents):
     path = shared_dir(spark, "planes")
     planes.write(documents([]), path, PATH, end_id=2)
     assert planes.read(spark, path).count() == 0
+
+
+def test_added_tokens_are_one_id(spark, documents):
+    path = shared_dir(spark, "planes")
+    planes.write(documents([(1, "a <|endoftext|> b"), (2, "<|startoftext|>")]), path, PATH, end_id=2)
+    out = sorted(tuple(r)[:3] for r in planes.read(spark, path).collect())
+    assert out == [(1, 0, 4), (2, 4, 2)]
