@@ -7,8 +7,8 @@ for the next of its kind; besides the L2 penalty, the squared change of the log-
 versions is penalised, so a neutral mention of one group scores like that of another.
 
 The model is fitted on at most SAMPLE labelled documents of each class, those of the least hash of
-doc_id, with the intercept set to the share of toxic labels among all learnable rows. Features are
-chosen from those documents; both bounds are parameters. Every text is scored whole.
+doc_id, then of text, rows equal in both counted once. The intercept is set to the share of toxic labels
+among all learnable rows. Features are chosen from those documents; both bounds are parameters. Every text is scored whole.
 
 Labels are learnt only where crc32(doc_id) mod 4 is not 2. Several labels of one doc_id: the largest
 counts. Without labels of both classes every score is the share of toxic ones, 0 if there are none. A
@@ -146,27 +146,29 @@ def train(
     """The model of labels.toxic, learnt from rows that are not held out."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
-    known = known.join(docs.select("doc_id").distinct(), "doc_id")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    known = saved(texts.distinct().join(known, "doc_id"), "known")  # one row for rows equal in id and text
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if len(sizes) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), float(np.log((share + 1e-12) / (1 - share + 1e-12))))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
     chosen = known.where("y = 1").orderBy(*order).limit(sample).unionByName(known.where("y = 0").orderBy(*order).limit(sample))
     change = swaps(identity)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc_id, y, text in zip(batch["doc_id"], batch["y"], batch["text"]):
+            for doc_id, h, y, text in zip(batch["doc_id"], batch["h"], batch["y"], batch["text"]):
                 own = distinct_words(text)
                 other = {change.get(w, w) for w in own}
-                ids = {h for w in own for h in hashes(w)}
-                rows.append((doc_id, y, sorted(ids), sorted({h for w in other for h in hashes(w)}) if other != own else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "y", "ids", "swapped"])
+                ids = {f for w in own for f in hashes(w)}
+                rows.append((doc_id, h, y, sorted(ids), sorted({f for w in other for f in hashes(w)}) if other != own else None))
+            yield pd.DataFrame(rows, columns=["doc_id", "h", "y", "ids", "swapped"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * sample ids
-    rows = saved(rows.mapInPandas(sets, "doc_id long, y int, ids array<int>, swapped array<int>"), "labelled")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").join(F.broadcast(chosen), ["doc_id", "h"])
+    rows = rows.dropDuplicates(["doc_id", "h"])  # at most 2 * sample rows
+    rows = saved(rows.mapInPandas(sets, "doc_id long, h long, y int, ids array<int>, swapped array<int>"), "labelled")
     n = {y: F.lit(float(min(sizes[y], sample))) for y in (0, 1)}
     seen = rows.select("y", F.explode(F.array_union("ids", F.coalesce("swapped", F.array().cast("array<int>")))).alias("f"))
     held = seen.groupBy("f").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("c"))
@@ -176,7 +178,7 @@ def train(
     best = held.where("a + c >= 3").withColumn("z", apart).orderBy(F.col("z").desc(), "f").limit(features)
     place = {r["f"]: i for i, r in enumerate(best.select("f").collect())}  # at most `features` rows
     mine = F.from_json(F.lit(str(list(place))), "array<int>")
-    few = rows.orderBy("doc_id").select("y", F.array_intersect("ids", mine).alias("ids"), F.array_intersect("swapped", mine).alias("swapped"))
+    few = rows.orderBy("doc_id", "h").select("y", F.array_intersect("ids", mine).alias("ids"), F.array_intersect("swapped", mine).alias("swapped"))
     table = few.collect()  # at most 2 * sample rows of at most `features` numbers
     x = np.zeros((len(table), len(place)), np.float32)
     moved = []

@@ -72,3 +72,15 @@ def test_gradient_vanishes_at_the_fit():
     w, b = toxicity.fit(x, y, change, 0.01, 0.5, rounds=4000)
     p = 1 / (1 + np.exp(-(x @ w + b)))
     assert np.abs(x.T @ (p - y) / 300 + 0.01 * w + 0.5 * change.T @ (change @ w) / 40).max() < 1e-4 and abs((p - y).mean()) < 1e-4
+
+
+def test_repeated_ids_stay_within_the_sample(spark, documents, monkeypatch):
+    docs, labels, rows = fixture(documents, spark, 120)
+    seen, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda x, *rest: seen.append(len(x)) or fit(x, *rest))
+    twice = documents(rows + [rows[0]] * 200)
+    a, b = toxicity.train(docs, labels), toxicity.train(twice, labels)
+    assert seen[0] == seen[1] and (a.features == b.features).all() and np.allclose(a.weights, b.weights) and a.intercept == b.intercept
+    many = documents([(d, f"{text} more{i}") for d, text in rows for i in range(8)])
+    toxicity.train(many, labels, sample=25)
+    assert seen[2] == 50
