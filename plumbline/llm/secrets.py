@@ -2,7 +2,7 @@
 
 DataFrame operations only. Two first-order models are trained from labelled samples, one of random
 strings and one of ordinary identifiers; both are tables of at most 67 * 66 bigram counts. A run of
-LONG or more token characters outside the pattern spans is added when the random model explains it
+LONG or more token characters outside the pattern spans, or what they leave of it, is added when the random model explains it
 better by at least RATIO in natural logarithm.
 
 Positions are code points, ends exclusive. Null texts are empty and have no spans; repeated rows and
@@ -106,6 +106,20 @@ def train(labelled: DataFrame) -> list[float] | None:
     return [round(chance(True, a, b) - chance(False, a, b), 6) for a in [*ALPHABET, ""] for b in ALPHABET]
 
 
+def _uncovered() -> Column:
+    """The parts of _runs outside the base spans (which ascend by start) that have LONG or more characters."""
+    part = lambda a, b: (
+        f"""IF({b} - {a} >= {LONG}, array(named_struct('start', {a}, 'rank', r.rank, 'end', {b},
+        'value', substring(r.value, {a} - r.start + 1, {b} - {a}))), cast(array() AS {SPANS}))"""
+    )
+    return F.expr(
+        f"""flatten(transform(_runs, r -> aggregate(filter(base, b -> b.start < r.end AND r.start < b.end),
+        named_struct('at', r.start, 'out', cast(array() AS {SPANS})),
+        (a, b) -> named_struct('at', greatest(a.at, b.end), 'out', concat(a.out, {part("a.at", "b.start")})),
+        a -> concat(a.out, {part("a.at", "r.end")}))))"""
+    )
+
+
 def ratio(token: Column, model: list[float]) -> Column:
     """The log-likelihood ratio of a token of ALPHABET's characters."""
     n = len(ALPHABET)
@@ -123,8 +137,7 @@ def scan(docs: DataFrame, model: list[float] | None) -> DataFrame:
     if model is None:
         return rows.select("doc_id", "base", none.alias("added"))
     rows = located(rows, f"{TOKEN}{{{LONG},}}", KINDS.index("model"), "_runs")
-    free = F.filter("_runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    rows = rows.withColumn("_free", free)
+    rows = rows.withColumn("_free", _uncovered())
     return rows.select("doc_id", "base", F.filter("_free", lambda r: ratio(r["value"], model) >= RATIO).alias("added"))
 
 

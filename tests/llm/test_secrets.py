@@ -73,3 +73,13 @@ def test_samples_and_no_samples(spark, documents):
 def test_written_digest(spark, documents):
     r = secrets.scan(documents([(1, "token=abcdef")]), None).select(secrets.written(secrets.F.col("base")).alias("w"), secrets.F.sha2(secrets.written(secrets.F.col("base")), 256).alias("h")).first()
     assert r["w"] == "assign:0:12" and r["h"] == hashlib.sha256(b"assign:0:12").hexdigest()
+
+
+def test_what_spans_leave_of_a_run_is_scored(spark, documents):
+    rnd = random.Random(1)  # scores 27 under this small model, above RATIO
+    key, text = "AKIA" + "ABCDEFGH12345678", "".join(rnd.choices(secrets.ALPHABET[:62], k=40))
+    rows = [(1, f"é {key}/{text} x"), (2, f"{text}/{key}/{text}"), (3, f"{key}/abcdefgh"), (4, key)]
+    added = check(documents, rows, model(spark))
+    assert [[(s["start"], s["end"], s["value"]) for s in added[d]] for d in (1, 2, 3, 4)] == [
+        [(22, 63, "/" + text)], [(0, 41, text + "/"), (61, 102, "/" + text)], [], []
+    ]
