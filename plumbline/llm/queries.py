@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, minhash, packing, planes, secrets, sites, substrings, toxicity, vectors
+from plumbline.llm import chat, decontaminate, language, minhash, packing, planes, secrets, sites, substrings, toxicity, vectors
 from plumbline.llm.common import ready, saved
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
@@ -102,3 +102,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.digests(saved(chat.formatted(talks), "chat"))
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predicted(docs, language.train(docs, public_tokenizers.path("piece_bpe_32k.model")))
