@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, language, minhash, packing, planes, secrets, sites, substrings, toxicity, vectors
+from plumbline.llm import chat, decontaminate, language, minhash, packing, periodic, planes, secrets, sites, substrings, toxicity, vectors
 from plumbline.llm.common import ready, saved
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
@@ -108,3 +111,29 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predicted(docs, language.train(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def read_planted(doc_id: int, n: int) -> np.ndarray | None:
+    """Every tenth document, by crc32(doc_id), repeats a stretch of itself from some word on."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return np.r_[np.arange(a), a + np.arange(n - a) % p]
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapsed(table(spark, sf_dir, "documents"), read=read_planted)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        F.floor(1000 * F.col("length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
