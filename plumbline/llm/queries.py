@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, language, minhash, packing, periodic, planes, secrets, sites, substrings, toxicity, vectors
+from plumbline.llm import chat, decontaminate, language, minhash, packing, periodic, planes, prefixes, secrets, sites, substrings, toxicity, vectors
 from plumbline.llm.common import ready, saved
 from plumbline.plans.registry import Query, table
 from plumbline.session import shared_dir
@@ -137,3 +137,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
     )
+
+
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Turns of the conversations whose first crc32(conv_id) % 6 turns are those of conversation conv_id - conv_id % 100."""
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefixes.grafted(prefixes.turns(conversations), F.col("conv_id") - F.col("conv_id") % 100, h, most=5)
+
+
+@query()
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(rebuilt(table(spark, sf_dir, "conversations")))
