@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from plumbline.llm import substrings
 
 
@@ -70,3 +72,32 @@ def test_doubling_ends_when_nothing_survives(documents):
 
 def test_empty_table(documents):
     assert substrings.deduplicated(documents([]), 50).count() == 0
+
+
+def test_lengths_double_up_to_the_size():
+    assert substrings.lengths(50, 13) == [13, 25] and substrings.lengths(50, 7) == [7, 13, 25]
+    assert substrings.lengths(50, 40) == [25] and substrings.lengths(2, 13) == [1] and substrings.lengths(9, 2) == [2, 3, 5]
+
+
+def test_names_are_leftmost_least_hashes():
+    rnd = random.Random(4)
+    for size, step, n in [(50, 13, 200), (50, 25, 74), (9, 2, 30), (10, 10, 12), (7, 1, 7), (7, 1, 3)]:
+        short = np.array([rnd.randint(0, 9) for _ in range(n)], np.uint64)
+        inside = size - step + 1
+        want = [i + min(range(inside), key=lambda j: (short[i + j], j)) for i in range(n - inside + 1)]
+        assert substrings.named(short, size, step).tolist() == want
+
+
+def test_every_start_gives_the_same(documents):
+    rows = passages(3)
+    for size, start in [(10, 1), (10, 2), (9, 3), (10, 5)]:
+        got = substrings.deduplicated(documents(rows), size, start).collect()
+        assert sorted((tuple(r)[:4] for r in got), key=str) == brute(rows, size)
+
+
+def test_very_long_texts(documents):
+    rnd = random.Random(9)
+    long = [str(rnd.randint(0, 10**6)) for _ in range(700_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[300_000:300_400])), (3, "x " + " ".join(long[5:60])), (4, "q" * 3_000_000)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substrings.deduplicated(documents(rows), 50).collect()}
+    assert got == {1: (700_000, 0), 2: (400, 400), 3: (56, 55), 4: (1, 0)}
