@@ -32,17 +32,26 @@ LONG, WORD = 16, 8
 RATIO = 12.0
 #: Labelled rows: documents of each kind that samples are drawn from at most.
 SAMPLE_DOCS = 2000
+BLOCK = 256
 SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
 def _matches(pieces: str, found: str, rank: int) -> Column:
-    """Spans of the matches, from the texts between them and the matches themselves."""
+    """Spans of the matches, from the texts between them and the matches themselves.
+
+    Matches are taken in blocks, each with places of its own, and the blocks are then moved to theirs, so
+    that no array grows by one element at a time over all matches.
+    """
+    one = f"""named_struct('start', a.at + length({pieces}[i - 1]), 'rank', {rank},
+        'end', a.at + length({pieces}[i - 1]) + length({found}[i - 1]), 'value', {found}[i - 1])"""
+    block = f"""aggregate(sequence(k * {BLOCK} + 1, least((k + 1) * {BLOCK}, size({found}))), named_struct('at', 0, 'out', cast(array() AS {SPANS})),
+        (a, i) -> named_struct('at', a.at + length({pieces}[i - 1]) + length({found}[i - 1]), 'out', concat(a.out, array({one}))))"""
     return F.expr(
-        f"""CASE WHEN size({found}) > 0 THEN aggregate(sequence(1, size({found})),
-        named_struct('at', 0, 'out', cast(array() AS {SPANS})),
-        (a, i) -> named_struct('at', a.at + length({pieces}[i - 1]) + length({found}[i - 1]), 'out', concat(a.out, array(named_struct(
-            'start', a.at + length({pieces}[i - 1]), 'rank', {rank}, 'end', a.at + length({pieces}[i - 1]) + length({found}[i - 1]),
-            'value', {found}[i - 1])))), a -> a.out) ELSE cast(array() AS {SPANS}) END"""
+        f"""CASE WHEN size({found}) > 0 THEN aggregate(transform(sequence(0, cast((size({found}) - 1) div {BLOCK} AS int)), k -> {block}),
+        named_struct('at', 0, 'out', cast(array() AS array<{SPANS}>)),
+        (t, b) -> named_struct('at', t.at + b.at, 'out', concat(t.out, array(transform(b.out, s -> named_struct(
+            'start', s.start + t.at, 'rank', s.rank, 'end', s.end + t.at, 'value', s.value))))),
+        t -> flatten(t.out)) ELSE cast(array() AS {SPANS}) END"""
     )
 
 
@@ -54,13 +63,14 @@ def located(df: DataFrame, pattern: str, rank: int, out: str) -> DataFrame:
 
 
 def patterns(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and base: the spans of the fixed patterns by start, then kind."""
+    """doc_id, text, base (the spans of the fixed patterns by start, then kind), and those of each kind as _0, _1, _2."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for rank, pattern in enumerate((ASSIGN, ACCESS, HEX)):
         rows = located(rows, pattern, rank, f"_{rank}")
     value = lambda s: F.regexp_extract(s["value"], ASSIGN, 2)
     assigned = F.filter("_0", lambda s: F.length(value(s)) >= 6)
-    return rows.select("doc_id", "text", F.array_sort(F.concat(assigned, "_1", "_2")).alias("base"))
+    rows = rows.withColumn("_0", assigned)
+    return rows.select("doc_id", "text", F.array_sort(F.concat("_0", "_1", "_2")).alias("base"), *[f"_{rank}" for rank in range(3)])
 
 
 def least(docs: DataFrame, kind: Column) -> DataFrame:
@@ -94,7 +104,7 @@ def train(labelled: DataFrame) -> list[float] | None:
     Add-one smoothing; None where one of the two kinds has no sample.
     """
     clean = labelled.select("secret", F.regexp_replace("value", f"[^{ALPHABET}]", "").alias("v")).where("length(v) > 0 AND secret IS NOT NULL")
-    pairs = clean.select("secret", F.explode(F.expr("transform(sequence(1, length(v)), i -> concat(if(i = 1, '', substring(v, i - 1, 1)), substring(v, i, 1)))")).alias("pair"))
+    pairs = clean.select("secret", F.explode(F.concat(F.array(F.substring("v", 1, 1)), _pairs(F.col("v"), lambda a, b: F.concat(a, b)))).alias("pair"))
     counts = {(r["secret"], r["pair"]): r["count"] for r in pairs.groupBy("secret", "pair").count().collect()}  # at most 2 * 67 * 66 rows
     if len({kind for kind, _ in counts}) < 2:
         return None
@@ -106,17 +116,36 @@ def train(labelled: DataFrame) -> list[float] | None:
     return [round(chance(True, a, b) - chance(False, a, b), 6) for a in [*ALPHABET, ""] for b in ALPHABET]
 
 
+def _pairs(token: Column, of) -> Column:
+    """of(a, b) for every two neighbouring characters; the token is cut into characters once for each side."""
+    n = F.length(token)
+    cut = F.split(token, "")
+    return F.zip_with(F.slice(cut, 1, F.greatest(n - 1, F.lit(0))), F.slice(cut, 2, F.greatest(n - 1, F.lit(0))), of)
+
+
+def _count(spans: str, at: str, limit: str) -> str:
+    """How many of the ascending, disjoint spans have `at` <= limit, by binary search."""
+    steps = ", ".join(str(1 << i) for i in range(24, -1, -1))
+    return f"aggregate(array({steps}), 0, (c, s) -> IF(c + s <= size({spans}) AND {spans}[c + s - 1].{at} <= {limit}, c + s, c))"
+
+
 def _uncovered() -> Column:
-    """The parts of _runs outside the base spans (which ascend by start) that have LONG or more characters."""
+    """The parts of _runs outside the base spans that have LONG or more characters.
+
+    The spans of each kind ascend, so those that meet a run are a stretch of them.
+    """
     part = lambda a, b: (
         f"""IF({b} - {a} >= {LONG}, array(named_struct('start', {a}, 'rank', r.rank, 'end', {b},
         'value', substring(r.value, {a} - r.start + 1, {b} - {a}))), cast(array() AS {SPANS}))"""
     )
+    meet = ", ".join(
+        f"slice({k}, {_count(k, 'end', 'r.start')} + 1, greatest({_count(k, 'start', 'r.end - 1')} - {_count(k, 'end', 'r.start')}, 0))" for k in ("_0", "_1", "_2")
+    )
     return F.expr(
-        f"""flatten(transform(_runs, r -> aggregate(filter(base, b -> b.start < r.end AND r.start < b.end),
+        f"""CASE WHEN size(base) = 0 THEN _runs ELSE flatten(transform(_runs, r -> aggregate(array_sort(concat({meet})),
         named_struct('at', r.start, 'out', cast(array() AS {SPANS})),
         (a, b) -> named_struct('at', greatest(a.at, b.end), 'out', concat(a.out, {part("a.at", "b.start")})),
-        a -> concat(a.out, {part("a.at", "r.end")}))))"""
+        a -> concat(a.out, {part("a.at", "r.end")})))) END"""
     )
 
 
@@ -124,9 +153,10 @@ def ratio(token: Column, model: list[float]) -> Column:
     """The log-likelihood ratio of a token of ALPHABET's characters."""
     n = len(ALPHABET)
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
-    place = lambda i: F.position(F.substring(token, i, F.lit(1)), F.lit(ALPHABET))
-    row = lambda i: F.when(i == 1, n).otherwise(place(i - 1) - 1)
-    return F.aggregate(F.sequence(F.lit(1), F.length(token)), F.lit(0.0), lambda acc, i: acc + F.element_at(table, (row(i) * n + place(i)).cast("int")))
+    place = lambda c: F.position(c, F.lit(ALPHABET))
+    first = F.element_at(table, (n * n + place(F.substring(token, 1, 1))).cast("int"))
+    steps = _pairs(token, lambda a, b: F.element_at(table, ((place(a) - 1) * n + place(b)).cast("int")))
+    return F.aggregate(steps, first, lambda total, x: total + x)
 
 
 def scan(docs: DataFrame, model: list[float] | None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A line is boilerplate when documents of at least `sites` distinct sources hold it. Lines that all lie
 in one source are set aside by a grouped minimum and maximum; for the others a HyperLogLog sketch of
-sources per line hash is built and merged by partial aggregation. Where the estimate lies near the
-threshold, sources are counted exactly; the decision is that of exact counts. Every boilerplate line
+sources per line hash is built and merged by partial aggregation. Where the estimate lies within four
+standard errors of the threshold, sources are counted exactly; beyond that the sketch decides, so a line
+far from the threshold is misjudged only if its sketch is off by more than that. Every boilerplate line
 goes but its first occurrence: the smallest doc_id that holds it keeps its first copy.
 
 Blank lines are no boilerplate. A null text stays null; a null source counts as one source of its own.
@@ -47,26 +48,27 @@ def boilerplate(docs: DataFrame, sites: int) -> tuple[DataFrame, DataFrame]:
 
 
 def cleaned(docs: DataFrame, sites: int = 10) -> DataFrame:
-    """docs with boilerplate lines removed from text, and n_lines and n_removed added."""
+    """docs with boilerplate lines removed from text, and n_lines and n_removed added.
+
+    Places of boilerplate lines are joined back to their text, and what is left of a text is picked from
+    its lines by place, so the cost of a text is linear in its lines.
+    """
     ready(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
-    lines, common = boilerplate(docs, sites)
+    _, common = boilerplate(docs, sites)
     keeps = F.col("doc_id").eqNullSafe(F.col("first"))
-    own = lines.join(common, "line").groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set(F.when(~keeps, F.col("line"))).alias("_drop"), F.collect_set(F.when(keeps, F.col("line"))).alias("_once")
-    )
-    text = F.col("text")
-
-    def stays(x: Column, i: Column) -> Column:
-        h = F.xxhash64(x)
-        again = F.array_contains("_once", h) & (F.array_position(_lines(text), x) <= i)
-        return (x == "") | ~(F.array_contains("_drop", h) | again)
-
-    kept = F.filter(_lines(text), stays)
-    marked = docs.join(own, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    marked = marked.withColumn("_kept", F.when(F.col("_drop").isNotNull(), kept))
+    places = docs.select("doc_id", F.xxhash64("text").alias("_own"), F.posexplode(_lines(F.col("text"))).alias("at", "x")).where("x <> ''")
+    places = places.select("doc_id", "_own", "at", F.xxhash64("x").alias("line")).join(common, "line")
+    each = places.groupBy("doc_id", "_own", "line", keeps.alias("keeps")).agg(F.collect_set("at").alias("at"))
+    gone = F.when(F.col("keeps"), F.array_except("at", F.array(F.array_min("at")))).otherwise(F.col("at"))
+    own = each.groupBy(F.col("doc_id").alias("_doc"), "_own").agg(F.flatten(F.collect_list(gone)).alias("_gone"))
+    split = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_lines", _lines(F.col("text"))).drop("text")
+    marked = split.join(own, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_own")), "left")
+    n = F.size("_lines")
+    left = F.array_except(F.sequence(F.lit(0), n - 1), "_gone")
+    kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda i: F.get("_lines", i)))
     return marked.select(
-        *[F.when(F.col("_kept").isNotNull(), F.array_join("_kept", BREAK)).otherwise(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long").alias("n_lines"),
-        F.when(F.col("_kept").isNull(), 0).otherwise(F.size(_lines(text)) - F.size("_kept")).cast("long").alias("n_removed"),
+        *[F.array_join(kept, BREAK).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.when(F.col("_lines").isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
+        F.when(F.col("_lines").isNull() | F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
     )

@@ -83,3 +83,34 @@ def test_what_spans_leave_of_a_run_is_scored(spark, documents):
     assert [[(s["start"], s["end"], s["value"]) for s in added[d]] for d in (1, 2, 3, 4)] == [
         [(22, 63, "/" + text)], [(0, 41, text + "/"), (61, 102, "/" + text)], [], []
     ]
+
+
+def test_long_tokens_and_many_matches(spark, documents):
+    rnd = random.Random(6)
+    table = model(spark)
+    blob = "".join(rnd.choices(secrets.ALPHABET[:62], k=1_000_000))
+    many = " ".join(f"token={i:08d} " + "".join(rnd.choices(secrets.ALPHABET[:62], k=20)) for i in range(6000))
+    rows = [(1, blob), (2, many), (3, "AKIA" + "A1" * 8 + "/" + "".join(rnd.choices(secrets.ALPHABET[:62], k=40)))]
+    added = check(documents, rows, table)
+    assert {d: [(s["start"], s["end"]) for s in spans] for d, spans in added.items()} == {d: brute_added(t, table) for d, t in rows}
+    assert added[1][-1]["end"] == 1_000_000 and [(s["start"], s["end"]) for s in added[3]] == [(20, 61)] and len(added[2]) > 500
+
+
+def brute_added(text, table):
+    """Uncovered parts of token runs, scored a character at a time."""
+    at, n, out = secrets.ALPHABET.index, len(secrets.ALPHABET), []
+    text, covered = text or "", set()
+    for a, _, b in brute(text):
+        covered.update(range(a, b))
+    free = "".join(" " if i in covered else c for i, c in enumerate(text))
+    for m in re.finditer(r"[A-Za-z0-9+/_=]{16,}", free):
+        total = table[n * n + at(m[0][0])] + sum(table[at(a) * n + at(b)] for a, b in zip(m[0], m[0][1:]))
+        if total >= secrets.RATIO:
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_model_spans_of_given_documents(spark, documents, sample):
+    table = model(spark)
+    added = check(documents, sample, table)
+    assert {d: [(s["start"], s["end"]) for s in spans] for d, spans in added.items()} == {d: brute_added(t, table) for d, t, _ in sample}

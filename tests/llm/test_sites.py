@@ -48,3 +48,9 @@ def test_near_and_far_from_the_threshold(documents):
 
 def test_empty_table(documents):
     assert sites.cleaned(documents([]), 3).count() == 0
+
+
+def test_a_text_of_many_common_lines(documents):
+    lines = [f"common line {i}" for i in range(1000)]
+    rows = [(d, "\n".join(lines), f"s{d}") for d in range(4)] + [(9, "\n".join(lines * 100), "s9"), (0, "\n".join(lines * 2), "s0")]
+    check(documents, rows, 3)
