@@ -19,6 +19,7 @@ each. An empty table gives no rows. Columns other than doc_id, text and lang are
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -153,8 +154,9 @@ def backward(arcs: list[tuple[int, int, np.ndarray]], chance: np.ndarray, n: int
 
 @dataclass(frozen=True)
 class Model:
-    """chance: probability by piece (OTHER and, at 0, no piece at the end) and language."""
+    """chance: probability by piece (OTHER and, at 0, no piece at the end) and language; key names the model."""
 
+    key: str
     pieces: list[str]
     languages: list[str]
     prior: np.ndarray
@@ -192,12 +194,23 @@ class Scorer:
         for i, own in enumerate(split):
             if own:
                 places, times = np.unique(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)), return_counts=True)
-                odds = self.model.prior + times @ self.logs[places]
+                odds = self.model.prior + times.astype(np.float64) @ self.logs[places]
                 odds = np.exp(odds - odds.max())
                 out[i] = odds / odds.sum()
         return out
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer(model: Model) -> Scorer:
+    """One scorer for each worker process, so that tasks after the first know their runs."""
+    if model.key not in _scorers:
+        _scorers.clear()
+        _scorers[model.key] = Scorer(model)
+    return _scorers[model.key]
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """lang, word, n: every run of the learnable documents, added up in tasks before the shuffle."""
 
@@ -266,14 +279,14 @@ def train(docs: DataFrame, path: str, rounds: int = ROUNDS, smoothing: float = S
             chance[-1] = 0
             chance /= chance.sum(0)
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-    return Model(pieces, languages, prior, chance)
+    return Model(uuid.uuid4().hex, pieces, languages, prior, chance)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score = Scorer(model)
+        score = scorer(model)
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
             for frame in slices(batch, "text"):

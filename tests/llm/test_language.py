@@ -25,7 +25,7 @@ def test_sum_over_all_segmentations():
     pieces = ["▁", "▁a", "a", "ab", "b", "ba", "▁ab", "c", "abc"]
     rnd = np.random.default_rng(1)
     chance = np.vstack([rnd.random((len(pieces) + 1, 3)), np.zeros((1, 3))])
-    model = language.Model(pieces, ["x", "y", "z"], np.log([0.2, 0.3, 0.5]), chance)
+    model = language.Model("m", pieces, ["x", "y", "z"], np.log([0.2, 0.3, 0.5]), chance)
     words = ["abc", "aabba", "zab", "b", "abcabc", "qq"]
     at = {p: i for i, p in enumerate(pieces)}
     want = np.array([sum(np.prod([chance[at.get(p, len(pieces))] for p in w], 0) for w in ways("▁" + word, at)) for word in words])
