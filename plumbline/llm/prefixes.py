@@ -33,7 +33,7 @@ from plumbline.llm.common import ready, saved
 from plumbline.operators.ordered import order_slices, running_sums
 
 FIRST = 64
-CONTAINER = 2000
+CONTAINER = 256
 SALTS = 16
 SLICE_ROWS = 1_000_000
 #: Width of the conv_id ranges whose members are joined before they are hashed.
