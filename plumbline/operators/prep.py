@@ -24,12 +24,12 @@ class Scaler:
     categories: dict[str, list[str]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Imputed, standardised numerics then encoded categories, all double; other columns go
-        unless kept. Works on streams too."""
+        """Imputed, standardised numerics then encoded categories, all double; NaN is missing, as in
+        fit; other columns go unless kept. Works on streams too."""
         return df.select(
             *keep,
             *[
-                ((F.coalesce(F.col(c).cast("double"), F.lit(self.median[c])) - F.lit(self.mean[c])) / F.lit(self.scale[c])).alias(c)
+                ((F.coalesce(C.nan_to_null(F.col(c).cast("double")), F.lit(self.median[c])) - F.lit(self.mean[c])) / F.lit(self.scale[c])).alias(c)
                 for c in self.numeric
             ],
             *[C.ordinal(c, order).alias(c) for c, order in self.categories.items()],
@@ -81,24 +81,26 @@ def fit(train: DataFrame, numeric: Sequence[str], categories: dict[str, list[str
 
 
 def min_max(df: DataFrame, train: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """(c - min) / (max - min) with bounds of the training rows; a zero range gives 0."""
-    bounds = train.agg(*[f(c).alias(f"{n}_{c}") for c in numeric for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    """(c - min) / (max - min) with bounds of the training rows; a zero range gives 0, NaN is missing."""
+    bounds = _numbers(train.select(*numeric), numeric).agg(*[f(c).alias(f"{n}_{c}") for c in numeric for n, f in (("lo", F.min), ("hi", F.max))]).first()
     out = {}
     for c in numeric:
         low, high = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
         width = float(high - low) if high is not None else 0.0
-        x = F.col(c).cast("double")
-        out[c] = (x - F.lit(float(low))) / F.lit(width) if width else F.when(x.isNotNull(), F.lit(0.0))
+        x = C.nan_to_null(F.col(c).cast("double"))
+        out[c] = (x - F.lit(low)) / F.lit(width) if width else F.when(x.isNotNull(), F.lit(0.0))
     return df.withColumns(out)
 
 
 def winsor_bounds(train: DataFrame, numeric: Sequence[str], low: float = 0.01, high: float = 0.99) -> dict:
-    found = quantiles(train, {c: [low, high] for c in numeric})
+    """Bounds per feature; NaN is missing."""
+    found = quantiles(_numbers(train.select(*numeric), numeric), {c: [low, high] for c in numeric})
     return {c: tuple(v) for c, v in found.items()}
 
 
 def winsorize(df: DataFrame, bounds: dict) -> DataFrame:
-    return df.withColumns({c: C.winsorize(c, lo, hi) for c, (lo, hi) in bounds.items()})
+    """Clipped values; NULL and NaN are NULL."""
+    return df.withColumns({c: C.winsorize(C.nan_to_null(c), lo, hi) for c, (lo, hi) in bounds.items()})
 
 
 def feature_config(

@@ -8,11 +8,11 @@ from plumbline import schema as S
 from plumbline.operators import clean, logs, model, prep
 from plumbline.plans.catalog_features import RAW_SQL, raw_text
 from plumbline.plans.catalog_models import FEATURES_USED, train_and_rest
-from plumbline.plans.catalog_series import HOUR, SHIPPED_SQL, raw_logs
+from plumbline.plans.catalog_series import BY, HOUR, RATES_SQL, SHIPPED_SQL, counter, raw_logs, rounded
 from plumbline.plans.registry import LINE_KEY, NUMBERS, events, query
 from plumbline.session import ROCKSDB, shared_dir
 from plumbline.sources import files
-from plumbline.streaming import alerts, jobs
+from plumbline.streaming import alerts, eventtime, jobs
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -97,6 +97,55 @@ def alert_stream(spark, sf_dir):
     return spark.read.parquet(out).withColumnRenamed("at", "at_s")
 
 
+def run_disordered(df, name, at, delay_s, build):
+    """The rows of `build` over a stream of df that arrives in two parts, by a restarted query, each row
+    up to 0.9 delays after its time `at` (epoch seconds)."""
+    spark = df.sparkSession
+    root, out, checkpoint = (shared_dir(spark, f"{name}{end}") for end in ("", "-out", "-checkpoint"))
+    held_back = F.pmod(F.xxhash64(*df.columns), F.lit(int(delay_s * 0.9)))
+    first = at + held_back < F.lit("2024-01-15").cast("timestamp").cast("bigint")
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        for part in (first, ~first):
+            df.where(part).write.mode("append").parquet(root)
+            stream = build(jobs.read_files(spark, root, df.schema))
+            jobs.run(stream, out, checkpoint).awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER, before)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query(
+    "ST4",
+    """WITH logs AS (SELECT event_type AS type, (epoch_us(ts) + 3599999999) // 3600000000 * 3600 AS t FROM events),
+    c AS (SELECT type, t, count(*) AS n FROM logs GROUP BY 1, 2), w AS (SELECT max(t) - 21600 AS until FROM c), b AS (SELECT type, t FROM c, w WHERE n > 2 AND t <= until),
+    islands AS (SELECT type, min(t) AS a, max(t) AS b FROM (SELECT type, t, t - 3600 * row_number() OVER (PARTITION BY type ORDER BY t) AS island FROM b) GROUP BY type, island)
+    SELECT type AS key, 'pending' AS state, a AS at_s FROM islands UNION ALL SELECT type, 'firing', a + 7200 FROM islands WHERE b - a >= 7200
+    UNION ALL SELECT type, 'resolved', b + 3600 FROM islands, w WHERE b - a >= 7200 AND b + 3600 <= until""",
+)
+def alerts_out_of_order(spark, sf_dir):
+    """Evaluations that arrive out of order and across a restart; only breaches are sent, so that series
+    without one fall silent and resolve by timer."""
+    counts = logs.count_over_time(events(spark, sf_dir), ["event_type"], HOUR)
+    clock = counts.agg(F.lit("clock").alias("key"), F.max("t").alias("t"), F.lit(False).alias("breach"))
+    sent = counts.where("lines > 2").select(F.col("event_type").alias("key"), "t", F.lit(True).alias("breach")).unionByName(clock)
+    found = run_disordered(sent, "evaluations", F.col("t"), 6 * HOUR, lambda s: eventtime.alert_stream(s, HOUR, 2 * HOUR, "6 hours"))
+    return found.withColumnRenamed("at", "at_s")
+
+
+@query(
+    "ST3, TS2",
+    f"""WITH {RATES_SQL} SELECT type, shard, t, round(value, 6) AS value FROM rates
+    WHERE t * 1000 <= (SELECT max(epoch_us(ts)) // 1000 - 10800000 FROM events)""",
+)
+def counter_rate_stream(spark, sf_dir):
+    """Rates of a counter with resets, from samples out of order and across a restart."""
+    samples = counter(spark, sf_dir).select(*BY, "ts", "value")
+    at = F.unix_seconds("ts")
+    return rounded(run_disordered(samples, "samples", at, 3 * HOUR, lambda s: eventtime.counter_rates(s, BY, 12 * HOUR, 6 * HOUR, "3 hours")))
+
+
 @query(
     "ST5",
     f"""SELECT event_type, count(*) AS rows FROM (SELECT event_type, epoch_us(ts) // 3600000000 AS h FROM events) WHERE (h + 1) * 3600000000 <= {CLOSED} GROUP BY 1""",

@@ -150,3 +150,20 @@ def test_segments(spark):
     df = spark.createDataFrame([(i, float(i % 2) * 100 + i * 0.01) for i in range(50)], "id int, x double")
     got = model.segment(df, ["x"], 2, ["id"]).collect()
     assert len({r.segment for r in got if r.id % 2}) == 1 and len({r.segment for r in got}) == 2
+
+
+def test_nan_is_missing_in_fit_and_transform(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (2.0,), (nan,), (None,), (3.0,)], "x double")
+    fitted = prep.fit(df, ["x"])
+    got = [r.x for r in fitted.transform(df).collect()]
+    assert got[2] == got[3] == got[1] == 0.0 and got[0] == -got[4]
+    other = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")  # NaN in the scored rows only
+    assert [r.x for r in prep.fit(other, ["x"]).transform(df).collect()][2] == 0.0
+    for train in (df, other):
+        assert [r.x for r in prep.min_max(df, train, ["x"]).collect()] == [0.0, 0.5, None, None, 1.0]
+        bounds = prep.winsor_bounds(train, ["x"], 0.0, 1.0)
+        assert bounds == {"x": (1.0, 3.0)}
+        assert [r.x for r in prep.winsorize(df, {"x": (1.5, 2.5)}).collect()] == [1.5, 2.0, None, None, 2.5]
+    empty = spark.createDataFrame([(nan,), (None,)], "x double")
+    assert [r.x for r in prep.min_max(df, empty, ["x"]).collect()] == [0.0, 0.0, None, None, 0.0]
