@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from plumbline import schema as S
 from plumbline.functions import columns as C
-from plumbline.operators import drift, metrics
+from plumbline.operators import boosting, drift, metrics
 from plumbline.operators.ordered import running_sums
 from plumbline.operators.split import stratified_folds
 
@@ -106,6 +106,15 @@ def fit_forest(
     return est.fit(prepared(train, features, label, {0: 1.0, 1: positive_weight}))
 
 
+def fit_staged(
+    train: DataFrame, features: Sequence[str], label: str, validation: DataFrame, patience: int = boosting.PATIENCE,
+    positive_weight: float = POSITIVE_WEIGHT, **params,
+) -> boosting.StagedTrees:
+    """Boosted trees trained once in full; as many rounds count as the validation loss and patience say."""
+    fitted = fit_boosted(train, features, label, positive_weight=positive_weight, **params)
+    return boosting.stop_early(boosting.staged(fitted, features), validation, label, positive_weight, patience)
+
+
 FITTERS: dict[str, Callable[..., Model]] = {
     "logistic_regression": fit_logistic,
     "boosted_trees": fit_boosted,
@@ -151,7 +160,9 @@ def draw(space: dict[str, tuple[str, float, float]], rng: random.Random) -> dict
     return out
 
 
-def probabilities(df: DataFrame, model: Model, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+def probabilities(df: DataFrame, model: Model | boosting.StagedTrees, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    if isinstance(model, boosting.StagedTrees):
+        return df.select(*keep, model.probability().alias("probability"))
     scored = model.transform(assemble(df, features))
     return scored.select(*keep, vector_to_array("prob_vec")[1].alias("probability"))
 
@@ -227,6 +238,53 @@ def search(
     return frame, drawn[best[0]]
 
 
+#: The parameter that says how long a trial of a kind trains.
+EFFORT = {"boosted_trees": "rounds", "random_forest": "trees"}
+
+
+def search_trees(
+    train: DataFrame, val: DataFrame, kind: str, features: Sequence[str], label: str, trials: int = 50, least: int = 10,
+    factor: int = 3, seed: int = SEED, parallelism: int = 4, space: dict | None = None, patience: int = boosting.PATIENCE,
+) -> tuple[DataFrame, dict[str, float], Model | boosting.StagedTrees]:
+    """Seeded search over trees by rungs: every trial trains `least` rounds (or trees), the best 1 / factor
+    of them by validation AUC go on with factor times as many, and the last rung trains in full.
+
+    (a row per trial and rung it reached, best parameters, their model). Boosted trees stop early by
+    patience. Rungs of one trial repeat its first rounds; a trial needs `rounds` or `trees` in the space.
+    """
+    rng, effort = random.Random(seed), EFFORT[kind]
+    drawn = [draw(space or SPACES[kind], rng) for _ in range(trials)]
+    train, val = (df.select(*features, label).persist() for df in (train, val))
+
+    def one(i: int, most: int) -> tuple[float, float, int, Model | boosting.StagedTrees]:
+        params = drawn[i] | {effort: min(drawn[i][effort], most)}
+        if kind == "boosted_trees":
+            fitted = fit_staged(train, features, label, val, patience, **params)
+            used = fitted.rounds
+        else:
+            fitted, used = FITTERS[kind](train, features, label, **params), params[effort]
+        row = evaluate(val, fitted, features, label).first()
+        return row.auc, row.ks, used, fitted
+
+    rows, left, best = [], list(range(trials)), None
+    try:
+        for rung, (many, most) in enumerate(boosting.rungs(trials, least, max(int(d[effort]) for d in drawn), factor), 1):
+            left = left[:many]
+            with ThreadPool(min(parallelism, len(left))) as pool:
+                found = dict(zip(left, pool.map(lambda i: one(i, most), left)))
+            left = sorted(found, key=lambda i: (-found[i][0], i))
+            best = (left[0], found[left[0]][3])
+            rows += [(kind, i, rung, used, auc, ks, {k: float(v) for k, v in drawn[i].items()}) for i, (auc, ks, used, _) in sorted(found.items())]
+    finally:
+        train.unpersist()
+        val.unpersist()
+    rows = [(*r, r[1] == best[0] and r[2] == rung) for r in rows]
+    frame = train.sparkSession.createDataFrame(
+        rows, "model string, trial int, rung int, rounds int, val_auc double, val_ks double, params map<string,double>, best boolean"
+    )
+    return frame, drawn[best[0]], best[1]
+
+
 def refit(
     train: DataFrame, val: DataFrame, kind: str, features: Sequence[str], label: str, params: dict
 ) -> tuple[Model, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline import schema as S
-from plumbline.operators import model, prep
+from plumbline.operators import boosting, model, prep
 from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
 from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
@@ -83,6 +83,33 @@ def parameter_search(spark, sf_dir):
     return trials.select("model", "trial", "val_auc", "val_ks", F.element_at("params", "c").alias("c"), "best")
 
 
+def tree_trials(spark, sf_dir, kind):
+    data = matrices(spark, sf_dir)
+    trials, _, _ = model.search_trees(part(data, "train"), part(data, "val"), kind, FEATURES_USED, "y", trials=6)
+    return trials
+
+
+@query("T4, T6")
+def boosted_search(spark, sf_dir):
+    """Six trials of the boosted space by rungs of 10, 30 and all rounds, stopped early by patience."""
+    return tree_trials(spark, sf_dir, "boosted_trees")
+
+
+@query("T6")
+def forest_search(spark, sf_dir):
+    return tree_trials(spark, sf_dir, "random_forest")
+
+
+@query("T4")
+def boosting_rounds(spark, sf_dir):
+    """Loss and quality on the validation rows after every tenth round of one fit."""
+    data = matrices(spark, sf_dir)
+    trees = boosting.staged(model.fit_boosted(part(data, "train"), FEATURES_USED, "y", rounds=60), FEATURES_USED)
+    losses = boosting.prefix_losses(part(data, "val"), trees, "y", model.POSITIVE_WEIGHT)
+    quality = boosting.prefix_quality(part(data, "val"), trees, "y", range(10, 61, 10))
+    return quality.join(losses.withColumn("loss", F.round("loss", 6)), "rounds")
+
+
 @query("T7")
 def refitted_model(spark, sf_dir):
     data = matrices(spark, sf_dir)
