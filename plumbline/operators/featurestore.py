@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordered import SLICE, last_known, order_slices, previous_row
+from plumbline.operators.ordered import SLICE, last_known, last_known_all, order_slices, previous_row
 
 
 def point_in_time(
@@ -44,6 +45,46 @@ def point_in_time(
     )
 
 
+@dataclass(frozen=True)
+class View:
+    """A feature table with its own time column and time to live; columns come out as name__value."""
+
+    name: str
+    rows: DataFrame
+    ts: str
+    values: Sequence[str]
+    ttl: str | None = None
+
+
+def point_in_time_views(
+    spine: DataFrame, views: Sequence[View], entity: str, spine_ts: str, rows_per_slice: int = 2_000_000
+) -> DataFrame:
+    """point_in_time for several views at once: spine and views are merged in time order by one shuffle,
+    and what is carried along is the last row of each view.
+
+    Adds name__ts and name__value of each view. Of feature rows with equal entity and time the greatest
+    counts; spine rows may repeat and may lack an entity or a time.
+    """
+    at = lambda df, c: df.select(F.col(c).alias("__ts"))
+    times = at(spine, spine_ts)
+    merged = spine.select(F.col(entity).alias("__entity"), F.col(spine_ts).alias("__ts"), F.lit(1).alias("__side"), F.struct(*spine.columns).alias("__spine"))
+    for v in views:
+        times = times.unionAll(at(v.rows, v.ts))
+        row = F.struct(F.col(v.ts).alias("ts"), *v.values)
+        newest = v.rows.where(F.col(entity).isNotNull() & F.col(v.ts).isNotNull()).groupBy(F.col(entity).alias("__entity"), F.col(v.ts).alias("__ts"))
+        merged = merged.unionByName(newest.agg(F.max(row).alias(f"__{v.name}")).withColumn("__side", F.lit(0)), allowMissingColumns=True)
+    sliced = merged.withColumn(SLICE, order_slices(times, "__ts", rows_per_slice))
+    known = last_known_all(sliced, ["__entity"], SLICE, ["__ts", "__side"], {f"{v.name}__row": f"__{v.name}" for v in views})
+    out = [F.col(f"__spine.{c}").alias(c) for c in spine.columns]
+    for v in views:
+        hit = F.col(f"{v.name}__row")
+        if v.ttl is not None:
+            hit = F.when(hit["ts"] >= F.col("__ts") - F.expr(f"interval {v.ttl}"), hit)
+        hit = F.when(F.col("__ts").isNotNull() & F.col("__entity").isNotNull(), hit)
+        out += [hit["ts"].alias(f"{v.name}__ts"), *[hit[c].alias(f"{v.name}__{c}") for c in v.values]]
+    return known.where("__side = 1").select(*out)
+
+
 def latest(features: DataFrame, entity: str, ts: str, values: Sequence[str]) -> DataFrame:
     """Newest values per entity; partial aggregation keeps one row per entity and task."""
     newest = F.max(F.struct(ts, *values))

@@ -56,6 +56,48 @@ def parse_json(df: DataFrame, schema: T.StructType, line: str = "line") -> DataF
     return out.withColumns({**fields, "parse_error": bad}).drop("__json")
 
 
+def as_variant(df: DataFrame, line: str = "line", name: str = "fields") -> DataFrame:
+    """The JSON object of a line as VARIANT, and parse_error for lines that are none; no schema is needed."""
+    parsed = F.try_parse_json(F.col(line))
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    out = df.withColumn(name, F.when(is_object, parsed))
+    return out.withColumn("parse_error", F.col(line).isNotNull() & F.col(name).isNull())
+
+
+def unwrap(df: DataFrame, paths: dict[str, tuple[str, str]], line: str = "line") -> DataFrame:
+    """Adds a column per (path, type); NULL where the path is missing or holds something else."""
+    out = as_variant(df, line, "__v")
+    return out.withColumns({n: F.try_variant_get("__v", path, kind) for n, (path, kind) in paths.items()}).drop("__v")
+
+
+def line_schema(df: DataFrame, line: str = "line") -> DataFrame:
+    """One row: the schema that holds the fields of all lines, and how many lines are no JSON objects."""
+    out = as_variant(df, line, "__v")
+    return out.agg(F.schema_of_variant_agg("__v").alias("schema"), F.count_if("parse_error").alias("parse_errors"))
+
+
+def discovered_labels(df: DataFrame, keys: Sequence[str], line: str = "line", depth: int = 4) -> DataFrame:
+    """(keys, label, value) for every field of every line, whatever fields there are.
+
+    Names of nested fields are joined by `_`, down to `depth` levels (what lies deeper stays JSON text);
+    lists and nulls give no label. A line that is no JSON object has the label __error__.
+    """
+    out = as_variant(df, line, "__v")
+    spark = df.sparkSession
+    bad = out.where("parse_error").select(*keys, F.lit("__error__").alias("label"), F.lit("JSONParserErr").alias("value"))
+    level = out.where("__v IS NOT NULL").select(*keys, F.lit("").alias("__name"), "__v")
+    found = bad
+    for left in reversed(range(depth)):
+        fields = level.lateralJoin(spark.tvf.variant_explode(F.col("__v").outer())).select(*keys, F.concat("__name", "key").alias("__name"), F.col("value").alias("__v"))
+        kind = F.schema_of_variant("__v")
+        nested = kind.startswith("OBJECT")
+        plain = fields.where(~F.is_variant_null("__v") & ~kind.startswith("ARRAY") & (~nested if left else F.lit(True)))
+        text = F.when(nested, F.to_json("__v")).otherwise(F.try_variant_get("__v", "$", "string"))
+        found = found.unionByName(plain.select(*keys, F.col("__name").alias("label"), text.alias("value")))
+        level = fields.where(nested).select(*keys, F.concat("__name", F.lit("_")).alias("__name"), "__v")
+    return found
+
+
 def warnings_only(df: DataFrame, line: str = "line") -> DataFrame:
     """Warning lines that are not errors."""
     return line_excludes(line_matches(df, WARNINGS, line), NOT_WARNINGS, line)
@@ -128,7 +170,7 @@ def stalls(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def recent(df: DataFrame, pattern: str, start: str, end: str, n: int = 100, ts: str = "ts") -> DataFrame:
-    """The newest n lines of a time range that match."""
+    """The newest n lines of a time range that match; of equal times, those whose text comes first."""
     kind = df.schema[ts].dataType
     inside = df.where((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) <= F.lit(end).cast(kind)))
-    return line_matches(inside, pattern).orderBy(F.desc(ts)).limit(n)
+    return line_matches(inside, pattern).orderBy(F.desc(ts), "line").limit(n)

@@ -157,15 +157,20 @@ def last_known(
     df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """Adds `name`: the latest non-NULL `value` at or before each row, per `by`, across slices."""
+    return last_known_all(df, by, part, order, {name: value})
+
+
+def last_known_all(df: DataFrame, by: Sequence[str], part: str, order: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """last_known for several columns (new name -> column) in the same shuffle."""
     rows = _keyed(df, by, part)
     tails = rows.groupBy(KEY, part).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__tail")
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"__tail_{n}") for n, v in values.items()]
     )
     earlier = Window.partitionBy(KEY).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(KEY, part, F.last("__tail", ignorenulls=True).over(earlier).alias("__carry"))
+    carried = tails.select(KEY, part, *[F.last(f"__tail_{n}", ignorenulls=True).over(earlier).alias(f"__carry_{n}") for n in values])
     inside = Window.partitionBy(KEY, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.withColumn("__seen", F.last(value, ignorenulls=True).over(inside))
+        rows.select("*", *[F.last(v, ignorenulls=True).over(inside).alias(f"__seen_{n}") for n, v in values.items()])
         .join(carried, [KEY, part])
-        .select(*_key_columns(by), *[c for c in df.columns if c not in by], F.coalesce("__seen", "__carry").alias(name))
+        .select(*_key_columns(by), *[c for c in df.columns if c not in by], *[F.coalesce(f"__seen_{n}", f"__carry_{n}").alias(n) for n in values])
     )

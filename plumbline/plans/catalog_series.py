@@ -389,6 +389,37 @@ def json_labels(spark, sf_dir):
     return logs.parse_json(prop_lines(spark, sf_dir), PROPS).select("event_id", "k", "parse_error")
 
 
+def mixed_lines(spark, sf_dir):
+    """Log lines of several shapes: event properties, who and what nested, a list, and texts that are no objects."""
+    df = events(spark, sf_dir)
+    who = F.concat(F.lit('{"who": {"id": '), F.col("user_id"), F.lit(', "is": {"kind": "'), F.col("event_type"), F.lit('"}}, "tags": [1], "none": null, "big": '), F.col("user_id") > 75, F.lit("}"))
+    line = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("broken "), "props")).when(F.col("user_id") % 7 == 1, F.lit("[1, 2]")).when(F.col("user_id") % 7 < 4, who)
+    return df.select("event_id", "ts", "event_type", line.otherwise(F.col("props")).alias("line"))
+
+
+@query(
+    "L5",
+    """WITH e AS (SELECT event_id, user_id, event_type, user_id % 7 AS m, json_extract_string(props, '$.k') AS k FROM events)
+    SELECT event_id, 'k' AS label, k AS value FROM e WHERE m >= 4 AND k IS NOT NULL UNION ALL SELECT event_id, 'who_id', user_id::varchar FROM e WHERE m IN (2, 3)
+    UNION ALL SELECT event_id, 'who_is_kind', event_type FROM e WHERE m IN (2, 3) UNION ALL SELECT event_id, 'big', (user_id > 75)::varchar FROM e WHERE m IN (2, 3)
+    UNION ALL SELECT event_id, '__error__', 'JSONParserErr' FROM e WHERE m < 2""",
+)
+def discovered_labels(spark, sf_dir):
+    """Labels of lines without a schema: nested fields joined by _, no lists and no nulls."""
+    return logs.discovered_labels(mixed_lines(spark, sf_dir), ["event_id"])
+
+
+@query(
+    "L5, L6",
+    """WITH e AS (SELECT event_id, user_id % 7 AS m, user_id, TRY_CAST(json_extract_string(props, '$.k') AS bigint) AS k FROM events)
+    SELECT event_id, CASE WHEN m >= 4 THEN k END::double AS k, CASE WHEN m IN (2, 3) THEN user_id END::double AS who_id, NULL::double AS kind, m < 2 AS parse_error FROM e""",
+)
+def unwrapped_fields(spark, sf_dir):
+    """Chosen fields by path and type; missing and mistyped ones are NULL."""
+    found = logs.unwrap(mixed_lines(spark, sf_dir), {"k": ("$.k", "bigint"), "who_id": ("$.who.id", "bigint"), "kind": ("$.who.is.kind", "double")})
+    return found.select("event_id", F.col("k").cast("double"), F.col("who_id").cast("double"), "kind", "parse_error")
+
+
 @query(
     "L6",
     f"""WITH {PROPS_SQL} SELECT event_type, t, arg_max(k, us) FILTER (WHERE k IS NOT NULL) AS k FROM {instants_sql('prop_lines', 'event_type, k', 24 * HOUR, 6 * HOUR)} GROUP BY 1, 2""",
@@ -466,6 +497,31 @@ def point_in_time_ttl(spark, sf_dir):
     return out.select("event_id", "user_id", "amount")
 
 
+@query(
+    "FS1",
+    """WITH s AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'), p AS (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'purchase'),
+    v AS (SELECT user_id, ts, value FROM events WHERE event_type = 'view'), c AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'click'),
+    a AS (SELECT s.event_id, p.value AS amount, p.event_id AS purchase FROM s ASOF LEFT JOIN p ON s.user_id = p.user_id AND s.ts >= p.ts),
+    b AS (SELECT s.event_id, CASE WHEN v.ts >= s.ts - INTERVAL 1 DAY THEN v.value END AS viewed FROM s ASOF LEFT JOIN v ON s.user_id = v.user_id AND s.ts >= v.ts),
+    d AS (SELECT s.event_id, CASE WHEN c.ts >= s.ts - INTERVAL 6 HOUR THEN c.event_id END AS click FROM s ASOF LEFT JOIN c ON s.user_id = c.user_id AND s.ts >= c.ts)
+    SELECT event_id, amount, purchase::double AS purchase, viewed, click::double AS click FROM a JOIN b USING (event_id) JOIN d USING (event_id)""",
+)
+def point_in_time_views(spark, sf_dir):
+    """Three feature views with their own time to live, joined to the spine in one shuffle."""
+    df = table(spark, sf_dir, "events")
+    of = lambda kind: df.where(F.col("event_type") == kind).select("user_id", F.col("ts").alias("at"), "value", "event_id")
+    views = [
+        featurestore.View("purchase", of("purchase"), "at", ["value", "event_id"]),
+        featurestore.View("view", of("view"), "at", ["value"], "1 day"),
+        featurestore.View("click", of("click"), "at", ["event_id"], "6 hours"),
+    ]
+    out = featurestore.point_in_time_views(errors(spark, sf_dir), views, "user_id", "ts")
+    return out.select(
+        "event_id", F.col("purchase__value").alias("amount"), F.col("purchase__event_id").cast("double").alias("purchase"),
+        F.col("view__value").alias("viewed"), F.col("click__event_id").cast("double").alias("click"),
+    )
+
+
 LATEST_SQL = "SELECT user_id, arg_max(value, ts) AS amount, arg_max(event_id, ts) AS purchase_id FROM events WHERE event_type = 'purchase'{more} GROUP BY 1"
 VALUES = ["amount", "purchase_id"]
 

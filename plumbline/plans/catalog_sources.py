@@ -162,11 +162,16 @@ def report_round_trip(spark, sf_dir):
     )
 
 
-def _event_objects(spark, sf_dir):
+def _event_root(spark, sf_dir):
     root = shared_dir(spark, "objects")
     df = events(spark, sf_dir).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     df = df.withColumn("kind", F.col("event_type")).select("event_id", "event_type", "value", "kind", "day")
     df.hint("rebalance", "kind", "day").write.option("maxRecordsPerFile", 1_000_000).partitionBy("kind", "day").json(root)
+    return root
+
+
+def _event_objects(spark, sf_dir):
+    root = _event_root(spark, sf_dir)
     return objects.with_names(objects.scan(spark, root), root)
 
 
@@ -177,7 +182,7 @@ def _event_objects(spark, sf_dir):
 )
 def object_containers(spark, sf_dir):
     allowed = ["kind=error", "kind=purchase", "kind=view", "kind=click"]
-    return objects.containers(_event_objects(spark, sf_dir), allowed, "kind=click")
+    return objects.containers_page(spark, _event_root(spark, sf_dir), allowed, "kind=click")
 
 
 @query(
@@ -186,7 +191,7 @@ def object_containers(spark, sf_dir):
     WHERE event_type = 'error' AND strftime(ts, '%Y-%m-%d') > '2024-01-05' ORDER BY 2 LIMIT 1000""",
 )
 def object_listing(spark, sf_dir):
-    page = objects.list_objects(_event_objects(spark, sf_dir), "kind=error", prefix="day=2024-", start_after="day=2024-01-06")
+    page = objects.objects_page(spark, _event_root(spark, sf_dir), "kind=error", prefix="day=2024-", start_after="day=2024-01-06")
     return page.select("container", F.substring_index("key", "/", 1).alias("folder")).distinct()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,61 @@ def with_names(objects: DataFrame, root: str) -> DataFrame:
     )
 
 
+PAGE = "container string, key string, length long, modificationTime timestamp"
+
+
+class Lister:
+    """Folder listings of any file system Spark can reach, one folder at a time, and how many entries they had."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.jvm, self.root, self.entries = spark._jvm, root.rstrip("/"), 0
+        self.fs = self.jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folder(self, path: str) -> list[tuple[str, bool, int, int]]:
+        """(name, is folder, bytes, modified at in ms) in the order of the keys below: a folder's name ends with /."""
+        at = self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}" if path else self.root)
+        if not self.fs.exists(at):
+            return []
+        found = [(s.getPath().getName() + ("/" if s.isDirectory() else ""), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in self.fs.listStatus(at)]
+        self.entries += len(found)
+        return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+    def keys(self, container: str, prefix: str, start_after: str, at: str = "") -> Iterator[tuple[str, int, int]]:
+        """(key, bytes, modified at) after start_after that begin with prefix, in order; folders that cannot
+        hold such a key are not entered, and none is entered before its turn."""
+        for name, is_folder, size, modified in self.folder(f"{container}/{at}".rstrip("/")):
+            key = at + name
+            if is_folder:
+                if (key.startswith(prefix) or prefix.startswith(key)) and key >= start_after[: len(key)]:
+                    yield from self.keys(container, prefix, start_after, key)
+            elif key.startswith(prefix) and key > start_after:
+                yield key, size, modified
+
+
+def containers_page(spark: SparkSession, root: str, allowed: Sequence[str] = (), start_after: str = "", limit: int = 5) -> DataFrame:
+    """containers() from one listing of the root folder; nothing below it is read."""
+    names = [n.rstrip("/") for n, is_folder, *_ in Lister(spark, root).folder("") if is_folder]
+    kept = [n for n in sorted(names) if n > start_after and (not allowed or n in allowed)][:limit]
+    return spark.createDataFrame([(n,) for n in kept], "container string")
+
+
+def objects_page(
+    spark: SparkSession, root: str, container: str, allowed: Sequence[str] = (), prefix: str = "", start_after: str = "",
+    max_keys: int = 1000, lister: Lister | None = None,
+) -> DataFrame:
+    """list_objects() by a listing in key order that enters only folders which can hold the page and stops
+    when it is full. The page, at most max_keys rows, is made on the driver."""
+    from datetime import datetime, timezone
+    from itertools import islice
+
+    found: list[tuple] = []
+    if not allowed or container in allowed:
+        lister = lister or Lister(spark, root)
+        for key, size, modified in islice(lister.keys(container, prefix, start_after), max_keys):
+            found.append((container, key, size, datetime.fromtimestamp(modified / 1000, timezone.utc)))
+    return spark.createDataFrame(found, PAGE)
+
+
 def containers(
     objects: DataFrame, allowed: Sequence[str] = (), start_after: str = "", limit: int = 5
 ) -> DataFrame:

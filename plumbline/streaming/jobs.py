@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,38 +71,105 @@ def latest_values(stream: DataFrame, by: Sequence[str], fields: Sequence[str], t
     return stream.groupBy(*by).agg(F.max(F.struct(ts, *fields)).alias("__n")).select(*by, "__n.*")
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows with bucket and version as numbers."""
-    return spark.read.parquet(path).withColumns({"bucket": F.col("bucket").cast("int"), "version": F.col("version").cast("bigint")})
+class Manifest:
+    """Which version of each bucket is current, and which batch of each query was merged last.
 
+    A manifest is one small file, written under a temporary name and renamed, so readers see the old
+    state or the new one. Numbers rise across queries and checkpoints.
+    """
 
-def upsert_to(path: str, by: Sequence[str], fields: Sequence[str], ts: str = "ts", buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        self.at = lambda *parts: hadoop.Path("/".join([self.path, *parts]))
+        self.fs = self.at().getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def numbers(self) -> list[int]:
+        folder = self.at("_manifests")
+        if not self.fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self.fs.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+    def read(self, number: int | None = None) -> dict:
+        """number, versions (bucket -> folder name) and applied (query -> batch)."""
+        if number is None:
+            known = self.numbers()
+            if not known:
+                return {"number": -1, "versions": {}, "applied": {}}
+            number = known[-1]
+        stream = self.fs.open(self.at("_manifests", f"{number}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def publish(self, state: dict) -> None:
+        draft = self.at("_manifests", f".{state['number']}-{uuid.uuid4().hex}")
+        stream = self.fs.create(draft, True)
+        stream.write(json.dumps(state).encode())
+        stream.close()
+        if not self.fs.rename(draft, self.at("_manifests", f"{state['number']}.json")):
+            self.fs.delete(draft, False)
+            raise RuntimeError(f"manifest {state['number']} of {self.path} exists: one writer at a time")
+
+    def remove_old(self, keep: int) -> None:
+        """Drops all but the last `keep` manifests, and versions that none of those names."""
+        known = self.numbers()
+        for number in known[:-keep]:
+            self.fs.delete(self.at("_manifests", f"{number}.json"), False)
+        needed = {(b, v) for n in known[-keep:] for b, v in self.read(n)["versions"].items()}
+        for bucket in self.fs.listStatus(self.at("data")):
+            name = bucket.getPath().getName()
+            if name.startswith("bucket="):
+                for version in self.fs.listStatus(bucket.getPath()):
+                    if (name.removeprefix("bucket="), version.getPath().getName().removeprefix("version=")) not in needed:
+                        self.fs.delete(version.getPath(), True)
+
+    def rows(self, versions: dict[str, str]) -> DataFrame:
+        folders = [f"{self.path}/data/bucket={b}/version={v}" for b, v in sorted(versions.items())]
+        return self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders)
+
+
+def upsert_to(
+    path: str, by: Sequence[str], fields: Sequence[str], ts: str = "ts", buckets: int = 64, source: str | None = None, keep: int = 2
+) -> Callable[[DataFrame, int], None]:
     """Batch writer that merges each micro-batch into a table of one row per key.
 
-    Keys are cut into buckets; a batch rewrites the buckets it touches as a new version beside the old
-    one, so readers never see half a bucket and a replayed batch writes the same version again.
+    Keys are cut into buckets; a batch writes the buckets it touches as a new version beside the old one
+    and then publishes a manifest that names it, so readers never see half a batch. Batches count per
+    `source` (default: the streaming query's id): a batch that was merged is not merged again, and a new
+    checkpoint starts anew. The last `keep` manifests and their versions stay for running readers.
     """
 
     def write(changed: DataFrame, batch: int) -> None:
         spark = changed.sparkSession
+        name = source or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        manifest = Manifest(spark, path)
+        state = manifest.read()
+        if name and state["applied"].get(name, -1) >= batch:
+            return
         new = changed.select(*by, ts, *fields, F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int").alias("bucket")).persist()
         try:
-            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most `buckets`
-            if not touched:
-                return
-            merged = new
-            try:
-                old = _versions(spark, path).where(F.col("bucket").isin(touched) & (F.col("version") < batch))
-                newest = old.groupBy("bucket").agg(F.max("version").alias("version"))
-                merged = new.unionByName(old.join(newest, ["bucket", "version"]).drop("version"))
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-            latest = merged.groupBy("bucket", *by).agg(F.max(F.struct(ts, *fields)).alias("__n"))
-            rows = latest.select(*by, "__n.*", "bucket", F.lit(batch).alias("version"))
-            rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "bucket", "version"
-            ).parquet(path)
+            touched = [str(r.bucket) for r in new.select("bucket").distinct().collect()]  # at most `buckets`
+            version = f"{state['number'] + 1}-{uuid.uuid4().hex[:8]}"
+            if touched:
+                merged = new
+                old = {b: state["versions"][b] for b in touched if b in state["versions"]}
+                if old:
+                    merged = new.unionByName(manifest.rows(old).drop("version").withColumn("bucket", F.col("bucket").cast("int")))
+                latest = merged.groupBy("bucket", *by).agg(F.max(F.struct(ts, *fields)).alias("__n"))
+                rows = latest.select(*by, "__n.*", "bucket", F.lit(version).alias("version"))
+                rows.repartition("bucket").write.mode("append").partitionBy("bucket", "version").parquet(f"{manifest.path}/data")
+            manifest.publish(
+                {
+                    "number": state["number"] + 1,
+                    "versions": state["versions"] | {b: version for b in touched},
+                    "applied": state["applied"] | ({name: batch} if name else {}),
+                }
+            )
+            if touched:
+                manifest.remove_old(keep)
         finally:
             new.unpersist()
 
@@ -109,10 +177,12 @@ def upsert_to(path: str, by: Sequence[str], fields: Sequence[str], ts: str = "ts
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """Current value per key of a table written by upsert_to: the newest version of each bucket."""
-    rows = _versions(spark, path)
-    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
-    return rows.join(newest, ["bucket", "version"]).drop("bucket", "version")
+    """Current value per key of a table written by upsert_to, as its newest manifest has it."""
+    manifest = Manifest(spark, path)
+    versions = manifest.read()["versions"]
+    if not versions:
+        raise ValueError(f"nothing was written to {path}")
+    return manifest.rows(versions).drop("bucket", "version")
 
 
 def without_duplicates(stream: DataFrame, keys: Sequence[str], delay: str = "1 hour", ts: str = "ts") -> DataFrame:

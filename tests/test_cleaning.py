@@ -183,3 +183,26 @@ def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "x double")
     assert [r[0] for r in df.select(C.nan_to_null("x")).collect()] == [None, 1.0, None]
     assert df.select(F.count(C.nan_to_null("x"))).first()[0] == 1
+
+
+def test_pages_list_only_folders_that_can_hold_them(spark, tmp_path):
+    keys = [f"c/{a}/{b}/{i}.txt" for a in "abcde" for b in "xyz" for i in range(4)] + ["c/a.txt", "c/a-1", "c/b/w.txt", "d/1.txt", "c/_SUCCESS"]
+    for key in keys:
+        (tmp_path / key).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / key).write_text(key)
+    root = str(tmp_path)
+    whole = objects.with_names(objects.scan(spark, root), root)
+    every = sorted(k.removeprefix("c/") for k in keys if k.startswith("c/") and "_SUCCESS" not in k)
+    for prefix, after, most in [("", "", 1000), ("", "", 3), ("b/", "", 1000), ("b/y", "b/y/1.txt", 1000), ("", "c/z/2.txt", 5), ("a", "", 6), ("q", "", 9), ("", "zz", 9), ("b/x/0.txt", "", 2)]:
+        lister = objects.Lister(spark, root)
+        page = objects.objects_page(spark, root, "c", (), prefix, after, most, lister).collect()
+        want = [k for k in every if k.startswith(prefix) and k > after][:most]
+        assert [r.key for r in page] == want
+        assert [(r.key, r.length) for r in objects.list_objects(whole, "c", (), prefix, after, most).collect()] == [(r.key, r.length) for r in page]
+    few, all_ = objects.Lister(spark, root), objects.Lister(spark, root)
+    objects.objects_page(spark, root, "c", (), "", "", 3, few)
+    objects.objects_page(spark, root, "c", (), "", "", 1000, all_)
+    assert few.entries <= 8 + 3 + 4 < all_.entries / 4
+    assert objects.objects_page(spark, root, "c", ["d"]).isEmpty() and objects.objects_page(spark, root, "nothing").isEmpty()
+    assert [r.container for r in objects.containers_page(spark, root, (), "c").collect()] == ["d"]
+    assert [r.container for r in objects.containers_page(spark, root, ["c", "x"]).collect()] == ["c"]

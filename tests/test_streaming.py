@@ -73,6 +73,30 @@ def test_upsert_keeps_the_newest_and_replays_replace(spark, tmp_path):
     assert sorted((r.k, r.v) for r in jobs.read_upserted(spark, out).collect()) == [("a", 3), ("b", 7)]
 
 
+def test_upsert_stays_bounded_and_outlives_its_checkpoint(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "k int, ts timestamp, v int"
+    write = jobs.upsert_to(out, ["k"], ["v"], buckets=4, source="q")
+    for batch in range(50):
+        rows = [(k, T0 + dt.timedelta(batch), 100 * batch + k) for k in range(batch % 8 + 1)]
+        write(spark.createDataFrame(rows, schema), batch)
+    write(spark.createDataFrame([(0, T0 + dt.timedelta(99), -1)], schema), 49)  # merged before, so not again
+    found = {r.k: r.v for r in jobs.read_upserted(spark, out).collect()}
+    newest = {k: max(b for b in range(50) if b % 8 >= k) for k in range(8)}
+    assert found == {k: 100 * b + k for k, b in newest.items()}
+    folders = list((tmp_path / "out" / "data").glob("bucket=*/version=*"))
+    assert len(folders) <= 2 * 4 and len(list((tmp_path / "out" / "_manifests").glob("*.json"))) == 2
+    later = spark.createDataFrame([(0, T0 + dt.timedelta(100), 7), (9, T0, 9)], schema)
+    for n in range(2):  # two streams with checkpoints of their own, whose batches count from 0
+        land(later.where(f"k = {9 * n}"), f"{path}{n}", 0)
+        newest = jobs.latest_values(stream_of(spark, f"{path}{n}", later.schema), ["k"], ["v"])
+        jobs.run_batches(newest, jobs.upsert_to(out, ["k"], ["v"], buckets=4), str(tmp_path / f"check{n}"), "update").awaitTermination()
+    found = {r.k: r.v for r in jobs.read_upserted(spark, out).collect()}
+    assert found[0] == 7 and found[9] == 9 and len(found) == 9
+    applied = jobs.Manifest(spark, out).read()["applied"]
+    assert len(applied) == 3 and applied["q"] == 49 and sorted(applied.values()) == [0, 0, 49]
+
+
 def test_null_gate_sends_a_batch_to_the_error_sink(spark, tmp_path):
     from plumbline.operators import model
 
