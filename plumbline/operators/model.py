@@ -188,6 +188,19 @@ def evaluate(df: DataFrame, model: Model, features: Sequence[str], label: str, b
     return metrics.metric_bundle(probabilities(df, model, features, [label, *by]), label, "probability", by)
 
 
+REPORT = "champion_name string, test_auc double, test_ks double, test_gini double, test_pr_auc double, optimal_threshold double, auc_threshold double, passes_threshold boolean, feature_columns array<string>"
+
+
+def evaluation_report(df: DataFrame, model: Model | boosting.StagedTrees, features: Sequence[str], label: str, name: str) -> DataFrame:
+    """One row of REPORT: quality on df, the threshold of least cost there, and the gate on the AUC."""
+    scored = probabilities(df, model, features, [label])
+    bundle = metrics.metric_bundle(scored, label, "probability")
+    best = F.lit(metrics.cost_optimal(metrics.threshold_sweep(scored, label, "probability")).first().threshold)
+    one = bundle.select(*[F.col(c).alias(f"test_{c}") for c in ("auc", "ks", "gini", "pr_auc")], best.alias("optimal_threshold"))
+    gated = metrics.promotion_gate(one).withColumn("champion_name", F.lit(name))
+    return gated.withColumn("feature_columns", F.array(*map(F.lit, features))).select(*[c.split()[0] for c in REPORT.split(", ")])
+
+
 def cross_validate(
     df: DataFrame, kind: str, features: Sequence[str], label: str, keys: Sequence[str], k: int = 5,
     seed: int = SEED, parallelism: int = 4, **params,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,16 +46,54 @@ def constant_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     return one.select(F.inline(F.array(*rows))).where("constant").select("feature")
 
 
-def quality_record(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """One row, one pass: row_count, null_rates map, missing_columns, constant_columns."""
-    have = [c for c in expected if c in df.columns]
-    gone = missing_names(df, expected)
+def _record_sums(df: DataFrame, have: Sequence[str]) -> list[Column]:
     present = lambda c: F.when(~absent(df, c), F.col(c))
-    one = df.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         *[F.avg(absent(df, c).cast("double")).alias(f"n_{c}") for c in have],
         *[F.min(present(c)).eqNullSafe(F.max(present(c))).alias(f"k_{c}") for c in have],
-    )
+    ]
+
+
+def watched(df: DataFrame, expected: Sequence[str], name: str | Observation) -> DataFrame:
+    """df whose quality is recorded by the job that writes it, batch or stream, without a scan of its own.
+
+    Read the sums after the write from an Observation, or for a stream, where `name` is a text, from the
+    progress of the query (observedMetrics), and turn them into a record with `record_of`. Take an
+    Observation in a session of its own (spark.newSession()): Spark 4.1 can't ship models that keep a
+    training summary from a session that has used one.
+    """
+    return df.observe(name, *_record_sums(df, [c for c in expected if c in df.columns]))
+
+
+def record_of(sums: dict, expected: Sequence[str]) -> dict:
+    """The record that quality_record gives, from the sums of `watched`."""
+    have = [c for c in expected if f"n_{c}" in sums]
+    rates = {c: None if sums[f"n_{c}"] is None else round(sums[f"n_{c}"], 6) for c in have}
+    return {
+        "row_count": sums["row_count"],
+        "null_rates": rates,
+        "missing_columns": [c for c in expected if c not in have],
+        "constant_columns": [c for c in have if sums[f"k_{c}"]],
+    }
+
+
+def gate_of(record: dict, max_null_rate: float = MAX_NULL_RATE) -> dict:
+    """The decision of scoring_gate, from a record: the written batch may be released or not."""
+    high = [] if record["missing_columns"] else [c for c, r in record["null_rates"].items() if r is not None and r > max_null_rate]
+    return {
+        "is_valid": not high and not record["missing_columns"],
+        "missing_columns": record["missing_columns"],
+        "high_null_columns": high,
+        "row_count": record["row_count"],
+    }
+
+
+def quality_record(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """One row, one pass: row_count, null_rates map, missing_columns, constant_columns."""
+    have = [c for c in expected if c in df.columns]
+    gone = missing_names(df, expected)
+    one = df.agg(*_record_sums(df, have))
     rates = [x for c in have for x in (F.lit(c), F.round(f"n_{c}", 6))]
     fixed = F.array(*[F.when(F.col(f"k_{c}"), F.lit(c)) for c in have]) if have else F.array()
     return one.select(

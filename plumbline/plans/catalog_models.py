@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline import schema as S
 from plumbline.operators import boosting, model, prep
@@ -10,6 +11,7 @@ from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
 from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
 from plumbline.session import shared_dir
+from plumbline.sources import files
 
 FEATURES_USED = NUMBERS
 
@@ -120,9 +122,13 @@ def refitted_model(spark, sf_dir):
 
 @query("T8")
 def batch_scores(spark, sf_dir):
+    """Scores with the threshold and the features that the stored evaluation report names."""
     data = matrices(spark, sf_dir)
     fitted = model.fit_logistic(part(data, "train"), FEATURES_USED, "y")
-    return model.score(data.where(F.col("split") != "train"), fitted, FEATURES_USED, 0.5)
+    path = shared_dir(spark, "evaluation")
+    files.write_report(model.evaluation_report(part(data, "val"), fitted, FEATURES_USED, "y", "logistic_regression"), path)
+    report = files.read_report(spark, path, T.StructType.fromDDL(model.REPORT)).first()
+    return model.score(data.where(F.col("split") != "train"), fitted, report.feature_columns, report.optimal_threshold)
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
@@ -20,6 +21,7 @@ from plumbline.plans.registry import (
     scored,
     table,
 )
+from plumbline.session import prepare, shared_dir
 
 KEY = ", ".join(LINE_KEY)
 
@@ -374,6 +376,25 @@ def quality_record(spark, sf_dir):
     )
 
 
+@query(
+    "Q4, Q5",
+    f"""WITH {LINES_SQL}, late AS (SELECT *, CASE WHEN quantity <= 10 THEN price END AS late_price FROM lines)
+    SELECT count(*) AS row_count, round(avg(CASE WHEN tax IS NULL THEN 1.0::double ELSE 0.0 END), 6) AS tax_nulls, round(avg(CASE WHEN late_price IS NULL THEN 1.0::double ELSE 0.0 END), 6) AS late_nulls,
+    avg(CASE WHEN late_price IS NULL THEN 1.0 ELSE 0.0 END) <= 0.5 AS is_valid, 'late_price' AS high_null, (SELECT count(*) FROM late) AS rows_written FROM late""",
+)
+def quality_while_writing(spark, sf_dir):
+    """The quality record and the gate of a table, taken from the job that writes it."""
+    expected = [*NUMBERS, "late_price"]
+    df = lines(prepare(spark.newSession()), sf_dir).withColumn("late_price", F.when(F.col("quantity") <= 10, F.col("price")))
+    seen, path = Observation("quality"), shared_dir(spark, "watched")
+    quality.watched(df, expected, seen).write.parquet(path)
+    record = quality.record_of(seen.get, expected)
+    gate = quality.gate_of(record)
+    row = (record["row_count"], record["null_rates"]["tax"], record["null_rates"]["late_price"], gate["is_valid"], ",".join(gate["high_null_columns"]))
+    out = spark.createDataFrame([row], "row_count long, tax_nulls double, late_nulls double, is_valid boolean, high_null string")
+    return out.withColumn("rows_written", spark.read.parquet(path).agg(F.count(F.lit(1))).scalar())
+
+
 @query(
     "Q5",
     """SELECT 'complete' AS input, avg(CASE WHEN l_quantity > 10 THEN 1.0 ELSE 0.0 END) <= 0.5 AS is_valid, '' AS missing, 'late_price' AS high_null, count(*) AS row_count FROM lineitem

@@ -54,3 +54,30 @@ def test_one_path_for_small_and_large_samples(spark):
     df = spark.range(5000).withColumn("v", F.col("id") * 2)
     assert split.sample_n(df, 100, ["id"]).count() == 100 and split.sample_n(df, 9000, ["id"]).count() == 5000
     assert split.sample_n(df, 4000, ["id"]).join(split.sample_n(df, 100, ["id"]), "id").count() == 100
+
+
+def test_quality_from_the_write_itself(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from plumbline.operators import quality
+    from plumbline.streaming import jobs
+
+    rows = [(i, None if i % 3 else float(i), float("nan") if i % 2 else 1.0, "x", None if i < 8 else 2) for i in range(10)]
+    df = spark.newSession().createDataFrame(rows, "id int, a double, b double, c string, d int")
+    expected = ["a", "b", "c", "d", "gone"]
+    for columns in (expected, expected[:-1]):
+        seen = Observation("q")
+        quality.watched(df, columns, seen).write.mode("overwrite").parquet(f"{tmp_path}/out")
+        record = quality.record_of(seen.get, columns)
+        want = quality.quality_record(df, columns).first().asDict()
+        assert record == want
+        assert quality.gate_of(record) == quality.scoring_gate(df, columns).first().asDict()
+    df.write.parquet(f"{tmp_path}/in")
+    stream = quality.watched(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), expected, "q")
+    query = jobs.run(stream, f"{tmp_path}/streamed", f"{tmp_path}/check")
+    query.awaitTermination()
+    sums = next(p.observedMetrics["q"].asDict() for p in query.recentProgress if p.observedMetrics and p.numInputRows)
+    assert quality.record_of(sums, expected) == quality.quality_record(df, expected).first().asDict()
+    empty = Observation("e")
+    quality.watched(df.where("false"), expected, empty).write.mode("overwrite").parquet(f"{tmp_path}/out")
+    assert quality.record_of(empty.get, expected) == quality.quality_record(df.where("false"), expected).first().asDict()

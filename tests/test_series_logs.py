@@ -154,3 +154,38 @@ def test_refresh_equals_full_snapshot(spark):
     moved = featurestore.refresh(early, df, "k", "ts", ["x"], "2024-01-01 03:00:00", "2024-01-01 06:00:00")
     want = featurestore.latest(df.where("ts <= '2024-01-01 06:00:00'"), "k", "ts", ["x"])
     assert moved.exceptAll(want).isEmpty() and moved.count() == want.count()
+
+
+def test_labels_without_a_schema(spark):
+    lines = ['{"a": 1, "b": {"c": "x", "d": {"e": true}}, "l": [1], "n": null}', '{"a": "one", "z.y": 2.5}', "{}", "[1]", "7", "no json", "", None, '{"a": {"q": 1}}', '{"p": {"q": {"r": {"s": {"t": 1}}}}}']
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    got = {(r.i, r.label): r.value for r in logs.discovered_labels(df, ["i"]).collect()}
+    bad = {(i, "__error__"): "JSONParserErr" for i in (3, 4, 5, 6)}
+    assert got == {
+        (0, "a"): "1", (0, "b_c"): "x", (0, "b_d_e"): "true", (1, "a"): "one", (1, "z.y"): "2.5", (8, "a_q"): "1", (9, "p_q_r_s"): '{"t":1}', **bad,
+    }
+    fields = logs.unwrap(df, {"a": ("$.a", "int"), "c": ("$.b.c", "string")}).orderBy("i").collect()
+    assert [(r.a, r.c, r.parse_error) for r in fields[:4]] == [(1, "x", False), (None, None, False), (None, None, False), (None, None, True)]
+    assert [r.parse_error for r in fields] == [False, False, False, True, True, True, True, False, False, False]
+    schema = logs.line_schema(df).first()
+    assert schema.parse_errors == 4 and "z.y" in schema.schema and "ARRAY" in schema.schema
+
+
+def test_views_in_one_shuffle_equal_single_joins(spark):
+    import random
+
+    rnd = random.Random(8)
+    moment = lambda: rnd.choice([None, *[at(60 * i) for i in range(30)]])
+    table = lambda n: spark.createDataFrame([(rnd.choice([None, 1, 2, 3]), moment(), i) for i in range(n)], "e int, t timestamp, v int")
+    spine = spark.createDataFrame([(i, rnd.choice([None, 1, 2, 4]), moment()) for i in range(120)], "id int, e int, ts timestamp")
+    views = [featurestore.View("a", table(60), "t", ["v"]), featurestore.View("b", table(40), "t", ["v"], "5 minutes"), featurestore.View("c", table(0), "t", ["v"])]
+    for size in (7, 10**6):
+        got = featurestore.point_in_time_views(spine, views, "e", "ts", size)
+        assert sorted(got.columns) == sorted([*spine.columns, *[f"{n}__{c}" for n in "abc" for c in ("ts", "v")]])
+        found = {r.id: r for r in got.collect()}
+        assert len(found) == 120
+        for v in views:
+            single = featurestore.point_in_time(spine, v.rows.where("t IS NOT NULL"), "e", "ts", "t", ["v"], v.ttl)
+            for r in single.collect():
+                want = (r.feature_timestamp, r.v) if r.ts is not None else (None, None)
+                assert (found[r.id][f"{v.name}__ts"], found[r.id][f"{v.name}__v"]) == want, (v.name, r)

@@ -167,3 +167,21 @@ def test_nan_is_missing_in_fit_and_transform(spark):
         assert [r.x for r in prep.winsorize(df, {"x": (1.5, 2.5)}).collect()] == [1.5, 2.0, None, None, 2.5]
     empty = spark.createDataFrame([(nan,), (None,)], "x double")
     assert [r.x for r in prep.min_max(df, empty, ["x"]).collect()] == [0.0, 0.0, None, None, 0.0]
+
+
+def test_report_names_the_threshold_that_scores(spark, labelled, tmp_path):
+    from pyspark.sql import types as T
+
+    from plumbline.operators import metrics
+    from plumbline.sources import files
+
+    df, features, label = labelled[2], ["a", "b"], "y"
+    fitted = model.fit_logistic(df, features, label)
+    report = model.evaluation_report(df, fitted, features, label, "lr")
+    files.write_report(report, str(tmp_path / "report"))
+    read = files.read_report(spark, str(tmp_path / "report"), T.StructType.fromDDL(model.REPORT)).first()
+    assert read == report.first() and read.feature_columns == features
+    scored = model.probabilities(df, fitted, features, [label])
+    sweep = metrics.threshold_sweep(scored, label, "probability").collect()
+    assert read.optimal_threshold == min(sweep, key=lambda r: (r.cost, r.threshold)).threshold != 0.5
+    assert read.passes_threshold == (read.test_auc >= read.auc_threshold)
