@@ -220,3 +220,44 @@ def output_drift(
         psi.alias("psi"), "positive_share", "outside"
     )
 
+
+def reference_edges(reference: DataFrame, features: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """The quantile bins of psi_numeric, to be kept with the profiles made by them."""
+    found = quantiles(reference, {f: [i / bins for i in range(bins + 1)] for f in features})
+    return {f: sorted({e for e in v if e is not None}) for f, v in found.items()}
+
+
+def profile_by(df: DataFrame, by: Sequence[str], edges: dict[str, list[float]], categorical: Sequence[str] = ()) -> DataFrame:
+    """A mergeable profile: rows per (by, feature, bin), with sum and sum of squares of the numbers there.
+
+    One pass; nulls (and NaN) are the bin null. Profiles of any parts add up by `merged`.
+    """
+    rows = []
+    for f, own in edges.items():
+        x = F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double"))
+        rows.append(F.struct(F.lit(f).alias("feature"), quantile_bin(x, own).cast("string").alias("bin"), x.alias("x")))
+    rows += [F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("bin"), F.lit(None).cast("double").alias("x")) for f in categorical]
+    long = df.select(*by, F.inline(F.array(*rows)))
+    return long.groupBy(*by, "feature", "bin").agg(F.count(F.lit(1)).alias("rows"), F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares"))
+
+
+def merged(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Profiles added up over everything but `by`: no raw row is read again."""
+    return profile.groupBy(*by, "feature", "bin").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
+
+
+def profile_moments(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """null_rate, mean and sample deviation per feature of a merged profile."""
+    n = F.sum(F.when(F.col("total").isNotNull(), F.col("rows")))
+    mean = F.sum("total") / n
+    spread = F.sqrt(F.greatest(F.try_divide(F.sum("squares") - F.sum("total") * mean, n - 1), F.lit(0.0)))
+    nulls = F.sum(F.when(F.col("bin").isNull(), F.col("rows")).otherwise(0)) / F.sum("rows")
+    return profile.groupBy(*by, "feature").agg(nulls.alias("null_rate"), mean.alias("mean"), spread.alias("std"))
+
+
+def profile_psi(reference: DataFrame, current: DataFrame, floor: float = PSI_FLOOR) -> DataFrame:
+    """feature_psi from two profiles made with the same edges."""
+    side = lambda df, name, other: df.where("bin IS NOT NULL").groupBy("feature", "bin").agg(F.sum("rows").alias(name)).withColumn(other, F.lit(0).cast("long"))
+    both = side(reference, "ref", "cur").unionByName(side(current, "cur", "ref"))
+    counts = both.groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    return _psi_terms(counts, floor).select("feature", F.round("psi", 6).alias("psi"))

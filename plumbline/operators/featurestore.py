@@ -106,6 +106,21 @@ def lookup(requests: DataFrame, snapshot: DataFrame, entity: str) -> DataFrame:
     return requests.join(snapshot, entity, "left")
 
 
+def store(df: DataFrame, name: str, entity: str, buckets: int, path: str | None = None) -> None:
+    """df as a table bucketed and sorted by its entity: joins on it neither shuffle nor sort this side.
+
+    `buckets` should not be below spark.sql.shuffle.partitions, else Spark deals both sides out anew. One
+    file per bucket: a task gets the rows of one bucket.
+    """
+    writer = df.repartition(buckets, entity).write.mode("overwrite").bucketBy(buckets, entity).sortBy(entity)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def stored_lookup(requests: DataFrame, name: str, entity: str, how: str = "left") -> DataFrame:
+    """Requests with the row of a stored table: only the requests move, to the table's buckets."""
+    return requests.join(requests.sparkSession.table(name).hint("merge"), entity, how)
+
+
 def days_since_previous(
     df: DataFrame, entity: str, ts: str, order: Sequence[str] = (), name: str = "days_since_previous"
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import drift, metrics
 from plumbline.plans.registry import LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
+from plumbline.session import shared_dir
 
 
 def curve_sql(source="scored", by=(), score="p"):
@@ -328,6 +329,23 @@ def feature_psi(spark, sf_dir):
     return drift.feature_psi(ref, cur, [*NUMBERS, "absent"], ["flag"])
 
 
+@query(
+    "D5, D8",
+    f"""WITH {LINE_SIDES_SQL}, y99 AS (SELECT * FROM cur WHERE l_shipdate >= timestamp '1999-03-01' AND l_shipdate < timestamp '2000-07-01')
+    {' UNION ALL '.join([psi_sql(c, 'ref', 'y99', c) for c in NUMBERS] + [psi_category_sql('flag', 'ref', 'y99', 'flag')])}""",
+)
+def drift_of_date_range(spark, sf_dir):
+    """PSI of a range of months from stored monthly profiles: raw rows are read once, when profiled."""
+    ref, _ = line_sides(spark, sf_dir)
+    edges = drift.reference_edges(ref, NUMBERS)
+    monthly = lines(spark, sf_dir).withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = shared_dir(spark, "profiles")
+    drift.profile_by(monthly, ["month"], edges, ["flag"]).write.partitionBy("month").parquet(path)
+    stored = spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    base, asked = stored.where("month < '1999-01'"), stored.where("month BETWEEN '1999-03' AND '2000-06'")
+    return drift.profile_psi(drift.merged(base), drift.merged(asked))
+
+
 @query(
     "D6",
     f"""WITH {LINE_SIDES_SQL}, s AS ({LINE_PSI_SQL}), t AS (SELECT feature, psi, psi > 0.0005 AS hit FROM s)

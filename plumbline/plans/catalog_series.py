@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
-from plumbline.operators import featurestore, logs, series
+from plumbline.operators import featurestore, logs, rules, series
 from plumbline.operators.ordered import SLICE, order_slices, running_sums
 from plumbline.plans.registry import events, query, table
+from plumbline.session import shared_dir
 
 HOUR = 3600
 BY = ["type", "shard"]
@@ -549,3 +552,62 @@ def feature_lookup(spark, sf_dir):
     asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal")
     out = featurestore.lookup(asked, snapshot, "user_id")
     return out.select(F.col("user_id").alias("c_custkey"), "c_acctbal", "amount", F.col("purchase_id").cast("double").alias("purchase_id"))
+
+
+@query(
+    "FS4, T9",
+    f"""WITH latest AS ({LATEST_SQL.format(more='')}) SELECT c.c_custkey, c.c_acctbal, l.amount, l.purchase_id::double AS purchase_id FROM customer c LEFT JOIN latest l ON c.c_custkey = l.user_id""",
+)
+def stored_feature_lookup(spark, sf_dir):
+    """The lookup on a table bucketed by its entity: the stored side is not shuffled."""
+    snapshot = featurestore.latest(purchases(spark, sf_dir), "user_id", "bought_at", VALUES)
+    name = f"features_{uuid.uuid4().hex[:12]}"
+    featurestore.store(snapshot, name, "user_id", int(spark.conf.get("spark.sql.shuffle.partitions")), shared_dir(spark, "features"))
+    asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal")
+    out = featurestore.stored_lookup(asked, name, "user_id")
+    return out.select(F.col("user_id").alias("c_custkey"), "c_acctbal", "amount", F.col("purchase_id").cast("double").alias("purchase_id"))
+
+
+# Rules over the event counter: (alert, metric, matchers, function, range in s, sum by, above, below, wait in s, severity, text).
+EVENT_RULES = [
+    ("HighRate", "events_value_total", [("type", "!=", "view")], "rate", 12 * HOUR, [], 0.02, None, 12 * HOUR, "warning", "{{type}}/{{shard}} at {{value:fixed}}"),
+    ("BusyType", "events_value_total", [], "rate", 12 * HOUR, ["type"], 0.11, None, 0, "critical", "{{type}}{{shard}} is busy"),
+    ("Moved", "events_value_total", [("type", "=~", "err.*"), ("shard", "!~", "[1-9]")], "changes", 6 * HOUR, [], 0.0, None, 6 * HOUR, "info", "moved {{value}}"),
+    ("Quiet", "events_value_total", [("type", "=", "signup")], "rate", 12 * HOUR, ["type"], None, 0.09, 0, "info", "quiet"),
+    ("Missing", "no_such_metric", [], "last", 6 * HOUR, [], 0.0, None, 0, "info", "never"),
+]
+
+
+def rule_sql(alert, rows, wait, severity):
+    """Transitions of one rule from its breaches (who, t)."""
+    step, w = 6 * HOUR, wait
+    last = "(SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM events)"
+    return f"""SELECT '{alert}' AS alert, '{severity}' AS severity, who, state, at_s FROM (WITH b AS ({rows}),
+    i AS (SELECT who, min(t) AS a, max(t) AS b FROM (SELECT who, t, t - {step} * row_number() OVER (PARTITION BY who ORDER BY t) AS island FROM b) GROUP BY who, island)
+    SELECT who, 'pending' AS state, a AS at_s FROM i WHERE {w} > 0 UNION ALL SELECT who, 'firing', a + {w} FROM i WHERE b - a >= {w}
+    UNION ALL SELECT who, 'resolved', b + {step} FROM i WHERE b - a >= {w} AND b + {step} <= {last})"""
+
+
+RULES_SQL = " UNION ALL ".join(
+    [
+        rule_sql("HighRate", "SELECT type || '/' || shard AS who, t FROM rates WHERE type <> 'view' AND value > 0.02", 12 * HOUR, "warning"),
+        rule_sql("BusyType", "SELECT type AS who, t FROM rates GROUP BY type, t HAVING sum(value) > 0.11", 0, "critical"),
+        rule_sql("Moved", "SELECT type || '/' || shard AS who, t FROM moved WHERE value > 0", 6 * HOUR, "info"),
+        rule_sql("Quiet", "SELECT type AS who, t FROM rates WHERE type = 'signup' GROUP BY type, t HAVING sum(value) < 0.09", 0, "info"),
+    ]
+)
+
+
+@query(
+    "TS10, TS11, TS13",
+    f"""WITH {RATES_SQL}, chg AS (SELECT type, shard, us, CASE WHEN value <> lag(value) OVER (PARTITION BY type, shard ORDER BY ts) THEN 1 ELSE 0 END AS m FROM cnt WHERE type LIKE 'err%' AND shard = '0'),
+    moved AS (SELECT type, shard, t, sum(m) - arg_min(m, us) AS value FROM {instants_sql('chg', 'type, shard, m', 6 * HOUR, 6 * HOUR)} GROUP BY 1, 2, 3) {RULES_SQL}""",
+)
+def rule_table_alerts(spark, sf_dir):
+    """Five rules of different functions and label sums, evaluated by one plan over samples read once."""
+    table_of_rules = spark.createDataFrame(EVENT_RULES, rules.RULES)
+    df = events(spark, sf_dir)
+    until = df.agg(F.floor(F.unix_seconds(F.max("ts")) / (6 * HOUR)).cast("long") * 6 * HOUR).scalar()
+    found = rules.transitions(counter(spark, sf_dir).select("ts", "metric", "labels", "value"), table_of_rules, 6 * HOUR, until=until, times=df)
+    who = F.concat_ws("/", F.col("labels")["type"], F.col("labels")["shard"])
+    return found.select("alert", "severity", who.alias("who"), "state", F.col("at").alias("at_s"))
