@@ -3,7 +3,7 @@
 A text is the set of its words (lower case, ASCII punctuation as space) and of their beginnings, hashed.
 Labelled documents give a logistic model over the features that set the classes apart best. For each
 labelled document that names a group, a second version is made in which every identity term is swapped
-for the next of its kind; besides the L2 penalty, the squared change of the log-odds between the two
+for the next of its kind (pronouns and group names in English, French, German and Spanish); besides the L2 penalty, the squared change of the log-odds between the two
 versions is penalised, so a neutral mention of one group scores like that of another.
 
 The model is fitted on at most SAMPLE labelled documents of each class, those of the least hash of
@@ -37,14 +37,37 @@ BEGINNINGS = (4, 5, 6, 7)
 REMEMBERED = 500_000
 THRESHOLD = 0.3
 L2, SWAP = 1e-3, 1.0
-#: Identity terms by kind; within a kind each is swapped for the next.
+#: Identity terms by kind and language; within a kind each is swapped for the next.
 IDENTITY = (
+    ("he", "she"),
+    ("his", "her"),
+    ("il", "elle"),
+    ("ils", "elles"),
+    ("él", "ella"),
+    ("ellos", "ellas"),
+    ("er", "sie"),
+    ("sein", "ihr"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("chicas", "chicos"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos"),
     ("women", "men"),
     ("woman", "man"),
     ("female", "male"),
     ("girls", "boys"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
+    ("muslims", "christians", "jews", "buddhists", "atheists"),
     ("black", "white", "asian", "latino"),
     ("gay", "straight", "lesbian", "transgender"),
     ("immigrants", "natives"),
@@ -73,9 +96,13 @@ def swaps(identity: tuple[tuple[str, ...], ...]) -> dict[bytes, bytes]:
 
 @dataclass(frozen=True)
 class Model:
+    """fitted and swapped: how many rows it was fitted on, and how many of them name a group."""
+
     features: np.ndarray
     weights: np.ndarray
     intercept: float
+    fitted: int = 0
+    swapped: int = 0
 
 
 class Scorer:
@@ -191,7 +218,7 @@ def train(
     y = np.array([r["y"] for r in table], np.float64)
     w, b = fit(x, y, np.stack(moved) if moved else np.zeros((0, len(place)), np.float32), l2, swap)
     b += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return Model(np.array(list(place), np.int64), w, float(b))
+    return Model(np.array(list(place), np.int64), w, float(b), len(table), len(moved))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

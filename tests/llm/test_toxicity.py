@@ -84,3 +84,25 @@ def test_repeated_ids_stay_within_the_sample(spark, documents, monkeypatch):
     many = documents([(d, f"{text} more{i}") for d, text in rows for i in range(8)])
     toxicity.train(many, labels, sample=25)
     assert seen[2] == 50
+
+
+def test_scores_from_the_weights_alone(spark, documents):
+    """Scores once more in plain Python from features, weights and intercept."""
+    import math
+    import string
+
+    from xxhash import xxh32_intdigest
+
+    docs, labels, rows = fixture(documents, spark, 200)
+    model = toxicity.train(docs, labels)
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+
+    def score(text):
+        clean = "".join(" " if c in string.punctuation else c for c in text.lower())
+        parts = {x for w in map(str.encode, clean.split()) for x in [w + b"$", *(w[:n] for n in (4, 5, 6, 7) if len(w) >= n)]}
+        return 1 / (1 + math.exp(-model.intercept - sum(weight.get(f, 0.0) for f in {xxh32_intdigest(p) % (1 << 20) for p in parts})))
+
+    rows += [(1000, "Idiot, IDIOT! é-scumbag... " + "word1 " * 200_000), (1001, "")]
+    got = {r["doc_id"]: r for r in toxicity.scored(documents(rows), model).collect()}
+    assert all(abs(got[d]["score"] - score(t)) < 1e-9 and got[d]["predicted"] == int(got[d]["score"] >= 0.3) for d, t in rows)
+    assert 0 < model.swapped < model.fitted
