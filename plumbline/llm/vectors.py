@@ -54,11 +54,6 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterat
         maybe = about + bx[a:b, None] * ey[None, :] + ex[a:b, None] + SLACK >= threshold
         if same:
             maybe &= np.arange(len(y))[None, :] > np.arange(a, b)[:, None]
-        if maybe.sum() * 4 > maybe.size:
-            sure = maybe & (x[a:b] @ y.T / (norm_x[a:b, None] * norm_y[None, :]) >= threshold)
-            i, j = np.nonzero(sure)
-            yield i + a, j
-            continue
         i, j = np.nonzero(maybe)
         for k in range(0, len(i), 100_000):
             p, q = i[k : k + 100_000] + a, j[k : k + 100_000]
