@@ -101,3 +101,33 @@ def test_null_and_repeated_ids(documents):
 
 def test_empty_table(documents):
     assert minhash.near(documents([]), 85).count() == 0
+
+
+def test_a_large_group_goes_to_tiles_in_proportion(documents, monkeypatch):
+    """Near copies of one text, several parts of them: what is sent to tiles grows like the group."""
+    monkeypatch.setattr(minhash, "TILE_ROWS", 16)
+    sent = []
+    real = minhash.outside
+    monkeypatch.setattr(minhash, "outside", lambda *a: sent.append(real(*a).count()) or real(*a))
+    totals = []
+    for n in (150, 300):
+        rnd = random.Random(n)
+        base = " ".join(str(rnd.randint(0, 5000)) for _ in range(300))
+        rows = [(d, edited(rnd, base, 0.004)) for d in range(n)] + [(n + d, edited(rnd, base, 0.025)) for d in range(6)]
+        sent.clear()
+        check(documents, rows)
+        totals.append(sum(sent))
+    assert totals[1] < 3 * totals[0] + 2000
+
+
+def test_leaders_lose_no_link_between_parts(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE_ROWS", 4)
+    for seed in range(3):
+        rnd = random.Random(seed)
+        base = " ".join(str(rnd.randint(0, 5000)) for _ in range(100))
+        other = " ".join([*base.split()[:80], *(str(rnd.randint(0, 5000)) for _ in range(20))])
+        texts = [edited(rnd, rnd.choice([base, other]), rnd.choice([0, 0.008, 0.02, 0.03])) for _ in range(70)]
+        check(documents, [(d, t) for d, t in enumerate(texts)])
+    rows = [(5, texts[0]), (5, texts[1]), *[(10 + i, t) for i, t in enumerate(texts[2:40])]]
+    out = minhash.near(documents(rows), 85).collect()
+    assert len(out) == len(rows) and all(r["component_id"] <= r["doc_id"] for r in out)
