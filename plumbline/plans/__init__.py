@@ -5,6 +5,7 @@ from plumbline.plans import (  # noqa: F401
     catalog_metrics,
     catalog_models,
     catalog_profile,
+    catalog_runs,
     catalog_series,
     catalog_sources,
     catalog_streams,
