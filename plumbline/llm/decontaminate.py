@@ -6,13 +6,15 @@ pieces, of which at least one is unharmed in any passage within the budget. Piec
 hash of their words at every place of a document; around each hit, Myers' bit-parallel algorithm finds
 the least distance of the item to any passage.
 
-Items travel to the tasks in blocks of a fixed number of characters, one pass over the documents per
-block, so what a task holds does not grow with the test set. Documents are not shuffled.
+Pieces are a table: hash, item, place in the item. A bitmap of their hashes, of at most BITMAP_BITS bits
+whatever the test set, goes to every task; one pass over the documents keeps the windows that may be pieces.
+These are joined to the table by hash, which says where an item would begin; each document with such places is
+read once more, with its items in rows of about ITEMS_PER_ROW, and verified. Documents without a hit are not
+shuffled, and neither items nor pieces pass through the driver, only the words of the bitmap.
 
 Every item with a word is searched; below 1 / rate words the budget is 0, so a short item is found where it
-stands word for word. Null texts and texts without words match nothing. `least_words` leaves out shorter
-items where a caller asks for it; no query does. Repeated rows are judged each. A null id is kept as it is. Empty tables give no rows. Columns other than doc_id, item_id
-and text are not read.
+stands word for word. Null texts and texts without words match nothing. Repeated rows are judged each. A null
+id is kept as it is. Empty tables give no rows. Columns other than doc_id, item_id and text are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import words
-from plumbline.llm.common import numbered, ready, slices, unnumbered
+from plumbline.llm.common import numbered, ready, saved, slices, unnumbered
 
-BLOCK_CHARS = 4_000_000
+#: Bits of the bitmap: 64 a piece, up to this many (32 MB); beyond it only more windows reach the join.
+BITMAP_BITS = 1 << 28
+ITEMS_PER_ROW = 64
 TO_SPACE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 FOUND = "doc_id long, text_hash long, item_id long, n_words int, distance int, start_word int, end_word int"
+PIECE = "item string, n_words int, h long, size int, at int"
+HIT = "doc_id long, text_hash long, h long, size int, place int"
+VERIFIED = "doc_id long, text_hash long, item string, n_words int, distance int, start_word int, end_word int"
 
 
 def normal(text: str | None) -> list[bytes]:
@@ -77,59 +84,6 @@ def pieces(n: int, budget: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-class Items:
-    """A block of test items, ready for lookups."""
-
-    def __init__(self, rows: list[tuple[int, str]], rate: float, least_words: int):
-        self.rows = [(i, w, int(rate * len(w))) for i, w in ((i, normal(t)) for i, t in rows) if len(w) >= max(1, least_words)]
-        found: dict[int, list[tuple[int, int, int]]] = {}
-        for n, (_, own, budget) in enumerate(self.rows):
-            hashes = words.hashed(own)
-            for offset, length in pieces(len(own), budget):
-                h = int(words.windows(hashes[offset : offset + length], length)[0])
-                found.setdefault(length, []).append((h, n, offset))
-        self.by_length = {}
-        for length, held in found.items():
-            held.sort()
-            keys = np.array([h for h, _, _ in held], np.uint64)
-            seen = np.zeros(1 << 20, bool)
-            seen[(keys & np.uint64(0xFFFFF)).astype(np.int64)] = True
-            self.by_length[length] = (keys, np.array([(n, o) for _, n, o in held], np.int64), seen)
-
-    def hits(self, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(place where the item would begin, number of the item) for each piece found."""
-        for length, (keys, items, seen) in self.by_length.items():
-            at_all = words.windows(hashes, length)
-            at = np.flatnonzero(seen[(at_all & np.uint64(0xFFFFF)).astype(np.int64)])
-            low, high = (np.searchsorted(keys, at_all[at], side) for side in ("left", "right"))
-            for a, i, j in zip(at[high > low], low[high > low], high[high > low]):
-                for n, offset in items[i:j]:
-                    yield int(a) - int(offset), int(n)
-
-    def search(self, texts: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(text, item_id, n_words, distance, start, end) of every item in every text."""
-        bounds = np.cumsum([0] + [len(t) for t in texts])
-        hashes = words.hashed(list(chain.from_iterable(texts)))
-        places: dict[tuple[int, int], set[int]] = {}
-        for begin, n in self.hits(hashes):
-            m, k = len(self.rows[n][1]), self.rows[n][2]
-            first = np.searchsorted(bounds, max(begin - k, 0), "right") - 1
-            last = np.searchsorted(bounds, min(begin + m + k, bounds[-1]) - 1, "right") - 1
-            for t in range(first, last + 1):  # the passage may lie in either of two texts
-                places.setdefault((t, n), set()).add(begin - int(bounds[t]))
-        for (t, n), begins in sorted(places.items()):
-            item_id, own, k = self.rows[n]
-            best, text = None, texts[t]
-            for a, b in ranges(sorted(begins), len(own), k, len(text)):
-                got = passage(own, text[a:b], k)
-                if got and (best is None or got[0] < best[0]):
-                    best = (got[0], a + got[1], a + got[2])
-                if best and not best[0]:
-                    break
-            if best:
-                yield t, item_id, len(own), *best
-
-
 def ranges(begins: list[int], m: int, k: int, n: int) -> list[tuple[int, int]]:
     """The parts of a text around the places where an item would begin, overlapping ones joined."""
     out: list[list[int]] = []
@@ -144,26 +98,113 @@ def ranges(begins: list[int], m: int, k: int, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15, least_words: int = 1) -> DataFrame:
-    """doc_id, text_hash, item_id, n_words, distance, start_word, end_word: items found in documents."""
-    ready(docs.sparkSession)
-    texts = benchmark.where("text IS NOT NULL").select(numbered("item_id"), "text")
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
-    out = docs.sparkSession.createDataFrame([], FOUND)
-    for block in range(blocks):
-        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()  # about BLOCK_CHARS characters
-        out = out.unionByName(_pass(docs, Items([tuple(r) for r in rows], rate, least_words)))
-    return out
+def piece_table(items: DataFrame, rate: float) -> DataFrame:
+    """Every piece of every distinct item (item, text): the hash of its words, their number, their place."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for frame in slices(batch, "text"):
+                rows = []
+                for item, text in zip(frame["item"], frame["text"]):
+                    hashes = words.hashed(normal(text))
+                    m = len(hashes)
+                    for at, size in pieces(m, int(rate * m)) if m else []:
+                        rows.append((item, m, int(words.windows(hashes[at : at + size], size).view(np.int64)[0]), size, at))
+                yield pd.DataFrame(rows, columns=columns(PIECE))
+
+    return items.mapInPandas(run, PIECE)
+
+
+def columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _pass(docs: DataFrame, items: Items) -> DataFrame:
+def bitmap(table: DataFrame, n: int) -> np.ndarray:
+    """64-bit words in which bit h mod size is set for every hash; at most BITMAP_BITS / 64 words are collected."""
+    bits = min(BITMAP_BITS, max(1 << 12, 1 << (64 * n - 1).bit_length()))
+    low = F.col("h").bitwiseAND(F.lit(bits - 1))
+    one = F.expr("shiftleft(1L, cast(low & 63 as int))")
+    found = table.select(low.alias("low")).groupBy(F.shiftright("low", 6).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[found["word"].to_numpy()] = found["set"].to_numpy()
+    return out.view(np.uint64)
+
+
+def hits(docs: DataFrame, sizes: list[int], seen: np.ndarray) -> DataFrame:
+    """The windows of every text, of the given sizes, whose bit is set: their hash and first word."""
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = shared.value
+        mask = np.uint64(64 * len(seen) - 1)
         for batch in batches:
             for frame in slices(batch, "text"):
-                ids, hashes = frame["doc_id"].tolist(), frame["text_hash"].tolist()
-                rows = [(ids[t], hashes[t], *rest) for t, *rest in items.search([normal(x) for x in frame["text"]])]
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
+                texts = [normal(x) for x in frame["text"]]
+                bounds = np.cumsum([0] + [len(t) for t in texts])
+                hashes = words.hashed(list(chain.from_iterable(texts)))
+                for size in sizes:
+                    every = words.windows(hashes, size)
+                    low = every & mask
+                    at = np.flatnonzero(seen[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1))
+                    text = np.searchsorted(bounds, at, "right") - 1
+                    inside = at + size <= bounds[text + 1]  # not across two texts
+                    at, text = at[inside], text[inside]
+                    doc_id, text_hash = (frame[c].to_numpy()[text] for c in ("doc_id", "text_hash"))
+                    yield pd.DataFrame({"doc_id": doc_id, "text_hash": text_hash, "h": every[at].view(np.int64), "size": size, "place": at - bounds[text]})
+
+    return docs.mapInPandas(run, HIT)
+
+
+def verified(rows: DataFrame, rate: float) -> DataFrame:
+    """rows: doc_id, text_hash, text and items (item, item_text, begins); those within the budget, closest passage."""
 
-    rows = docs.select(numbered(), F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, FOUND)
-    return unnumbered(unnumbered(rows), "item_id")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for frame in slices(batch, "text"):
+                out = []
+                for doc_id, text_hash, text, items in zip(frame["doc_id"], frame["text_hash"], frame["text"], frame["items"]):
+                    text = normal(text)
+                    for one in items:
+                        own = normal(one["item_text"])
+                        got = closest(own, text, sorted(one["begins"]), int(rate * len(own)))
+                        if got:
+                            out.append((doc_id, text_hash, one["item"], len(own), *got))
+                yield pd.DataFrame(out, columns=columns(VERIFIED))
+
+    return rows.select("doc_id", "text_hash", "text", "items").mapInPandas(run, VERIFIED)
+
+
+def closest(own: list[bytes], text: list[bytes], begins: list[int], budget: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the closest passage around the places where the item would begin; the first of equals."""
+    best = None
+    for a, b in ranges(begins, len(own), budget, len(text)):
+        got = passage(own, text[a:b], budget)
+        if got and (best is None or got[0] < best[0]):
+            best = (got[0], a + got[1], a + got[2])
+        if best and not best[0]:
+            break
+    return best
+
+
+def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15) -> DataFrame:
+    """doc_id, text_hash, item_id, n_words, distance, start_word, end_word: items found in documents."""
+    ready(docs.sparkSession)
+    named = benchmark.where("text IS NOT NULL").select("item_id", "text", F.md5(F.col("text").cast("binary")).alias("item"))
+    items = saved(named.select("item", "text").distinct(), "items")
+    table = saved(piece_table(items, rate), "pieces")
+    sizes, n = table.agg(F.sort_array(F.collect_set("size")), F.count(F.lit(1))).first()  # no piece has over 1 + 1 / rate words
+    if not n:
+        return docs.sparkSession.createDataFrame([], FOUND)
+    rows = docs.select(numbered(), F.xxhash64("text").alias("text_hash"), "text")
+    windows = saved(hits(rows, sizes, bitmap(table, n)), "hits")
+
+    doc, begin = ["doc_id", "text_hash"], (F.col("place") - F.col("at")).alias("begin")
+    at = windows.distinct().join(table, ["h", "size"]).select(*doc, "item", begin)
+    at = saved(at.groupBy(*doc, "item").agg(F.collect_set("begin").alias("begins")), "places")  # places of one document
+    per_row = at.groupBy(*doc).agg(F.ceil(F.count(F.lit(1)) / ITEMS_PER_ROW).alias("parts"))
+    whole = at.join(per_row, doc).join(items.withColumnRenamed("text", "item_text"), "item")
+    part = F.pmod(F.xxhash64("item"), F.col("parts")).alias("part")
+    each = whole.groupBy(*doc, part).agg(F.collect_list(F.struct("item", "item_text", "begins")).alias("items"))
+    kept = verified(rows.join(each.drop("part"), doc), rate)
+    out = kept.join(named.select("item_id", "item"), "item").select(*columns(FOUND))
+    return unnumbered(out)

@@ -36,13 +36,14 @@ def brute(rows, items, rate, least):
     return out
 
 
-def run(spark, documents, rows, items, rate=0.15, least=8):
+def run(spark, documents, rows, items, rate=0.15):
     bench = spark.createDataFrame([(*i, "more") for i in items], "item_id long, text string, doc_id string")
-    return d.found(documents(rows), bench, rate, least).collect()
+    return d.found(documents(rows), bench, rate).collect()
 
 
 def test_planted_and_edited_items(spark, documents, monkeypatch):
-    monkeypatch.setattr(d, "BLOCK_CHARS", 3000)  # several passes
+    monkeypatch.setattr(d, "BITMAP_BITS", 1 << 9)  # most windows pass the bitmap and meet the table
+    monkeypatch.setattr(d, "ITEMS_PER_ROW", 2)
     rnd = random.Random(8)
     vocabulary = [f"w{i}" for i in range(300)]
     items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randint(6, 60)))) for i in range(40)] + [(50, None), (51, ""), (52, "too short")]
@@ -57,7 +58,7 @@ def test_planted_and_edited_items(spark, documents, monkeypatch):
         rows.append((doc, text if doc % 3 else text.upper().replace(" ", ", ")))
     rows += [(500, None), (501, ""), (502, "w1")]
     got = run(spark, documents, rows, items)
-    assert {(r["doc_id"], r["item_id"], r["n_words"], r["distance"]) for r in got} == brute(rows, items, 0.15, 8)
+    assert {(r["doc_id"], r["item_id"], r["n_words"], r["distance"]) for r in got} == brute(rows, items, 0.15, 1)
     for r in got:
         own, text = d.normal(dict(items)[r["item_id"]]), d.normal(dict(rows)[r["doc_id"]])
         assert sellers(own, text[r["start_word"] : r["end_word"]]) == r["distance"]
@@ -68,7 +69,7 @@ def test_given_tables(spark, documents, sample, sf_dir):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     rows = sample[:60]
     got = run(spark, documents, rows, items)
-    assert {(r["doc_id"], r["item_id"], r["n_words"], r["distance"]) for r in got} == brute(rows, items, 0.15, 8)
+    assert {(r["doc_id"], r["item_id"], r["n_words"], r["distance"]) for r in got} == brute(rows, items, 0.15, 1)
 
 
 def test_repeats_nulls_and_empty_tables(spark, documents):
@@ -94,3 +95,28 @@ def test_short_items_are_found_word_for_word(spark, documents, tmp_path):
     assert {tuple(r)[:2] + tuple(r)[4:] for r in got} == {(10, 1, 1, 4), (12, 2, 0, 8), (13, 3, 2, 3)}
     left = corpus_pipeline.drop_contaminated(spark, docs, path).collect()
     assert {r["doc_id"] for r in left} == {11, 14, 15, 16, 17}
+
+
+def test_many_items_in_long_and_repeated_documents(spark, documents):
+    """One document holds every item, a third of all rows are copies of another, one text has 200 000 words."""
+    rnd = random.Random(5)
+    items = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(3, 30)))) for i in range(150)]
+    items += [(1000 + i, items[0][1]) for i in range(20)]
+    every = " ".join(t for _, t in items[:150])
+    filler = " ".join(f"f{i % 977}" for i in range(200_000))
+    rows = [(1, every), (2, filler + " " + items[3][1])] + [(3, "x " + items[0][1])] * 30 + [(i, f"plain {i}") for i in range(4, 60)]
+    got = run(spark, documents, rows, items)
+    pairs = [(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0]
+    assert {i for doc, i in pairs if doc == 1} == {i for i, _ in items}
+    assert (2, 3) in pairs and sum(doc == 3 for doc, _ in pairs) == 30 * 21
+    assert {r["doc_id"] for r in got} == {1, 2, 3}
+
+
+def test_work_on_the_driver_does_not_grow_with_the_items(spark, monkeypatch):
+    monkeypatch.setattr(d, "BITMAP_BITS", 1 << 12)
+    table = spark.range(100_000).selectExpr("xxhash64(id) AS h").cache()
+    assert len(d.bitmap(table, 100_000)) == 64 and len(d.bitmap(table, 1)) == 64
+    monkeypatch.setattr(d, "BITMAP_BITS", 1 << 28)
+    seen = d.bitmap(table, 100_000)
+    want = {r.h & (64 * len(seen) - 1) for r in table.collect()}
+    assert {64 * int(w) + b for w in seen.nonzero()[0] for b in range(64) if int(seen[w]) >> b & 1} == want
