@@ -8,9 +8,10 @@ the least distance of the item to any passage.
 
 Pieces are a table: hash, item, place in the item. A bitmap of their hashes, of at most BITMAP_BITS bits
 whatever the test set, goes to every task; one pass over the documents keeps the windows that may be pieces.
-These are joined to the table by hash, which says where an item would begin; each document with such places is
-read once more, with its items in rows of about ITEMS_PER_ROW, and verified. Documents without a hit are not
-shuffled, and neither items nor pieces pass through the driver, only the words of the bitmap.
+These are joined to the table by hash, which says where an item would begin. A second pass over the documents
+keeps, by a bitmap of the same bound, those with such places; they are joined to their items, in rows of about
+ITEMS_PER_ROW, and verified. So only documents with hits (and, by chance, one in a thousand others, more beyond
+the bound) are shuffled, and neither items nor pieces pass through the driver, only the words of the bitmaps.
 
 Every item with a word is searched; below 1 / rate words the budget is 0, so a short item is found where it
 stands word for word. Null texts and texts without words match nothing. Repeated rows are judged each. A null
@@ -25,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from plumbline.llm.common import numbered, ready, saved, slices, unnumbered
 
 #: Bits of the bitmap: 64 a piece, up to this many (32 MB); beyond it only more windows reach the join.
 BITMAP_BITS = 1 << 28
+LEAST_BITS = 1 << 20
 ITEMS_PER_ROW = 64
 TO_SPACE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 FOUND = "doc_id long, text_hash long, item_id long, n_words int, distance int, start_word int, end_word int"
@@ -120,23 +123,44 @@ def columns(schema: str) -> list[str]:
 
 
 def bitmap(table: DataFrame, n: int) -> np.ndarray:
-    """64-bit words in which bit h mod size is set for every hash; at most BITMAP_BITS / 64 words are collected."""
-    bits = min(BITMAP_BITS, max(1 << 12, 1 << (64 * n - 1).bit_length()))
-    low = F.col("h").bitwiseAND(F.lit(bits - 1))
-    one = F.expr("shiftleft(1L, cast(low & 63 as int))")
-    found = table.select(low.alias("low")).groupBy(F.shiftright("low", 6).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
+    """64-bit words in which two bits are set for each of n hashes; at most BITMAP_BITS / 64 words are collected."""
+    bits = min(BITMAP_BITS, max(LEAST_BITS, 1 << (64 * n - 1).bit_length()))
+    places = F.transform(F.array("h", F.shiftrightunsigned("h", 32)), lambda x: x.bitwiseAND(F.lit(bits - 1)))
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = table.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[found["word"].to_numpy()] = found["set"].to_numpy()
     return out.view(np.uint64)
 
 
+def marked(hashes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The positions of the hashes whose two bits are set."""
+    mask = np.uint64(64 * len(seen) - 1)
+
+    def on(x: np.ndarray) -> np.ndarray:
+        x = x & mask
+        return seen[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63)) & np.uint64(1) > 0
+
+    at = np.flatnonzero(on(hashes))
+    return at[on(hashes[at] >> np.uint64(32))]
+
+
+def only_marked(docs: DataFrame, seen: np.ndarray) -> DataFrame:
+    """The rows of docs whose hash h is marked: a filter by Arrow batches, in which no text is looked at."""
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(marked(batch.column("h").to_numpy().view(np.uint64), shared.value)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def hits(docs: DataFrame, sizes: list[int], seen: np.ndarray) -> DataFrame:
-    """The windows of every text, of the given sizes, whose bit is set: their hash and first word."""
+    """The windows of every text, of the given sizes, that the bitmap marks: their hash and first word."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = shared.value
-        mask = np.uint64(64 * len(seen) - 1)
         for batch in batches:
             for frame in slices(batch, "text"):
                 texts = [normal(x) for x in frame["text"]]
@@ -144,8 +168,7 @@ def hits(docs: DataFrame, sizes: list[int], seen: np.ndarray) -> DataFrame:
                 hashes = words.hashed(list(chain.from_iterable(texts)))
                 for size in sizes:
                     every = words.windows(hashes, size)
-                    low = every & mask
-                    at = np.flatnonzero(seen[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1))
+                    at = marked(every, shared.value)
                     text = np.searchsorted(bounds, at, "right") - 1
                     inside = at + size <= bounds[text + 1]  # not across two texts
                     at, text = at[inside], text[inside]
@@ -205,6 +228,9 @@ def found(docs: DataFrame, benchmark: DataFrame, rate: float = 0.15) -> DataFram
     whole = at.join(per_row, doc).join(items.withColumnRenamed("text", "item_text"), "item")
     part = F.pmod(F.xxhash64("item"), F.col("parts")).alias("part")
     each = whole.groupBy(*doc, part).agg(F.collect_list(F.struct("item", "item_text", "begins")).alias("items"))
-    kept = verified(rows.join(each.drop("part"), doc), rate)
+    key = F.xxhash64(*doc).alias("h")
+    keys = per_row.select(key)
+    hit = only_marked(rows.select("*", key), bitmap(keys, keys.count())).drop("h")
+    kept = verified(hit.join(each.drop("part"), doc), rate)
     out = kept.join(named.select("item_id", "item"), "item").select(*columns(FOUND))
     return unnumbered(out)

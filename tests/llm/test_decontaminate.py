@@ -1,6 +1,9 @@
 import random
 
+import numpy as np
+
 from plumbline.llm import decontaminate as d
+from plumbline.llm import words
 
 
 def sellers(item, text):
@@ -114,9 +117,13 @@ def test_many_items_in_long_and_repeated_documents(spark, documents):
 
 def test_work_on_the_driver_does_not_grow_with_the_items(spark, monkeypatch):
     monkeypatch.setattr(d, "BITMAP_BITS", 1 << 12)
+    monkeypatch.setattr(d, "LEAST_BITS", 1 << 10)
     table = spark.range(100_000).selectExpr("xxhash64(id) AS h").cache()
-    assert len(d.bitmap(table, 100_000)) == 64 and len(d.bitmap(table, 1)) == 64
+    assert len(d.bitmap(table, 100_000)) == 64 and len(d.bitmap(table, 1)) == 16
     monkeypatch.setattr(d, "BITMAP_BITS", 1 << 28)
     seen = d.bitmap(table, 100_000)
-    want = {r.h & (64 * len(seen) - 1) for r in table.collect()}
+    hashes = np.array([r.h for r in table.collect()], np.int64).view(np.uint64)
+    want = {int(x) & (64 * len(seen) - 1) for h in hashes for x in (h, h >> np.uint64(32))}
+    assert len(d.marked(hashes, seen)) == len(hashes)
+    assert len(d.marked(words.mix(hashes), seen)) < len(hashes) / 200  # others pass by chance only
     assert {64 * int(w) + b for w in seen.nonzero()[0] for b in range(64) if int(seen[w]) >> b & 1} == want
