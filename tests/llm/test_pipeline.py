@@ -46,14 +46,27 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert sorted(map(tuple, ran.select(*own).collect())) == sorted(map(tuple, packed.select(*own).collect()))
 
 
-def test_rows_that_share_an_id_are_dropped_by_their_text(spark, documents):
+def test_one_row_of_each_group_stays_whatever_its_id(spark, documents):
     text = "these words are said by two documents in quite the same way"
-    docs = documents([(1, text), (2, text), (2, "but this one is only like itself and stays"), (None, text), (None, None)])
+    lost = "nobody gave an id to any of the rows that say this one sentence"
+    docs = documents([(2, text), (1, text), (1, text), (2, "but this one is only like itself and stays"), (None, text), (None, lost), (None, lost), (None, None), (None, "")])
     out = corpus_pipeline.drop_near_copies(spark, docs, "")
-    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:3]) for r in out.collect()) == [(0, ""), (0, "the"), (1, "the"), (2, "but")]
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:3]) for r in out.collect()) == [(0, ""), (0, ""), (0, "nob"), (1, "the"), (2, "but")]
     assert out.columns == docs.columns
 
 
+def test_columns_with_names_the_stages_use(spark, documents):
+    text = "these words are said by two documents in quite the same way"
+    docs = documents([(1, text), (2, text), (3, "another text that nobody else has written down so far")])
+    for c in ("_row", "_doc", "_hash", "_at", "_group", "_rank", "_kept", "text_hash"):
+        docs = docs.withColumn(c, docs["doc_id"])
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"], r["_row"], r["_kept"]) for r in out.collect()) == [(1, 1, 1), (3, 3, 3)]
+    gone = docs.select("doc_id", "text").withColumn("text_hash", corpus_pipeline.F.xxhash64("text")).where("doc_id = 1")
+    assert sorted(r["doc_id"] for r in corpus_pipeline._without(docs, gone).collect()) == [2, 3]
+
+
 def test_empty_documents_pass(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
