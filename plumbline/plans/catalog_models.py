@@ -9,7 +9,7 @@ from plumbline import schema as S
 from plumbline.operators import boosting, model, prep
 from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
-from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table
+from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table, written
 from plumbline.session import shared_dir
 from plumbline.sources import files
 
@@ -29,12 +29,6 @@ def matrices(spark, sf_dir):
     return written(fitted.transform(df, [S.ROW_ID, "y", "split"]), "matrices")
 
 
-def written(df, name):
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def part(df, name):
     return df.where(F.col("split") == name)
 

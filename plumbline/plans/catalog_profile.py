@@ -20,6 +20,7 @@ from plumbline.plans.registry import (
     query,
     scored,
     table,
+    written,
 )
 from plumbline.session import prepare, shared_dir
 
@@ -84,7 +85,7 @@ def ordinal_codes(spark, sf_dir):
 )
 def fitted_transform(spark, sf_dir):
     """Fit on train, apply to every split with one expression per column."""
-    df = split_lines(spark, sf_dir)
+    df = written(split_lines(spark, sf_dir).select(*LINE_KEY, "split", "flag", *NUMBERS), "splits")
     fitted = prep.fit(df.where(F.col("split") == "train"), NUMBERS, {"flag": ["A", "N", "R"]})
     out = fitted.transform(df, keep=[*LINE_KEY, "split"])
     return out.withColumns({c: F.round(c, 5) for c in NUMBERS})
@@ -113,7 +114,8 @@ def _profile_sql(c):
     f"WITH {SPLIT_SQL}, train AS (SELECT * FROM splits WHERE split = 'train') " + " UNION ALL ".join(_profile_sql(c) for c in [*NUMBERS, "flag"]),
 )
 def reference_profile(spark, sf_dir):
-    return prep.reference_profile(split_lines(spark, sf_dir).where(F.col("split") == "train"), NUMBERS, ["flag"])
+    train = split_lines(spark, sf_dir).where(F.col("split") == "train").select("flag", *NUMBERS)
+    return prep.reference_profile(written(train, "train"), NUMBERS, ["flag"])
 
 
 @query("F8", f"WITH {SPLIT_SQL} SELECT split, count(*) AS rows, round(avg(y) * 100, 4) AS positive_pct FROM splits GROUP BY 1")

@@ -11,7 +11,7 @@ from plumbline.plans.catalog_models import FEATURES_USED, train_and_rest
 from plumbline.plans.catalog_series import BY, HOUR, RATES_SQL, SHIPPED_SQL, counter, raw_logs, rounded
 from plumbline.plans.registry import LINE_KEY, NUMBERS, events, query
 from plumbline.session import ROCKSDB, shared_dir
-from plumbline.sources import files
+from plumbline.sources import files, tail
 from plumbline.streaming import alerts, eventtime, jobs
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -49,6 +49,24 @@ def log_stream(spark, sf_dir):
     )
 
 
+@query(
+    "ST1",
+    f"WITH {SHIPPED_SQL} SELECT service, stream, level, count(*) AS n, sum(length(line))::bigint AS characters FROM shipped GROUP BY 1, 2, 3",
+)
+def tailed_logs(spark, sf_dir):
+    """Container records as text files that are read line by line; the second half arrives between two runs."""
+    root, out, checkpoint = (shared_dir(spark, f"tailed{end}") for end in ("", "-out", "-checkpoint"))
+    records = raw_logs(spark, sf_dir)
+    late = F.unix_seconds(F.col("ts").cast("timestamp")) % 2 == 1
+    for part in (~late, late):
+        records.where(part).select(F.to_json(F.struct(*records.columns)).alias("value")).write.mode("append").text(root)
+        read = tail.tail(spark, root, "part-*").select(F.from_json("line", records.schema).alias("r")).select("r.*")
+        jobs.run(logs.ship(read), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).groupBy("service", "stream", "level").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("characters")
+    )
+
+
 CLOSED = "(SELECT max(epoch_us(ts)) FROM events) - 600000000"
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.session import prepare
+from plumbline.session import prepare, shared_dir
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df stored in the shared folder and read back, so that what reads it several times computes it once."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with an instant as ts."""
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
