@@ -5,8 +5,9 @@ changes), labels to sum by (empty: each series on its own), one or two bounds, a
 and a text. The value breaches above `above` or below `below`. Texts name labels as {{label}} and the
 value as {{value}}, {{value:human}}, {{value:percent}} or {{value:fixed}}.
 
-Rules are matched to samples by metric with an ordinary join, so their number does not matter; adding a
-rule adds rows, not scans.
+Samples are summed into buckets of one step per series before any rule sees them, and the table of rules, which is
+written by hand, goes to every task: the samples of one metric, which may be all there are, never meet in one
+task. Adding a rule adds rows, not scans.
 """
 
 from __future__ import annotations
@@ -42,24 +43,26 @@ def values(samples: DataFrame, rules: DataFrame, step_s: int, times: DataFrame |
     samples: ts, metric, labels map, value. Ranges are multiples of step_s. `times`: a cheap frame with
     a column ts that spreads like the samples. last and changes need one sample, rate and increase two.
     """
-    known = samples.where(F.col("ts").isNotNull() & F.col("value").isNotNull()).withColumn("series", series.series_key())
+    ruled = F.broadcast(rules.select("metric"))
+    known = samples.where(F.col("ts").isNotNull() & F.col("value").isNotNull()).join(ruled, "metric", "left_semi")
+    known = known.select("metric", series.series_key().alias("series"), "ts", "value")
     sliced = known.withColumn(SLICE, order_slices(known if times is None else times, "ts"))
     rows = previous_row(sliced, ["metric", "series"], SLICE, ["ts"], ["value"])
     before, now = F.col("prev.value"), F.col("value")
-    rows = rows.withColumn("up", F.when(now < before, now).otherwise(now - before)).withColumn("moved", (before.isNotNull() & (now != before)).cast("long"))
-    ruled = rows.join(rules.select("alert", "metric", "matchers", "func", "range_s", "sum_by"), "metric").where(_matches(F.col("labels"), F.col("matchers")))
     us, width = F.unix_micros(F.col("ts").cast("timestamp")), step_s * 1_000_000
     ends = F.floor((us + F.lit(width - 1)) / F.lit(width)).cast("long") * step_s
-    by = ["alert", "func", "range_s", "sum_by", "series"]
-    buckets = ruled.withColumns({"us": us, "ends": ends}).groupBy(*by, "ends").agg(
-        F.first("labels").alias("labels"), F.count(F.lit(1)).alias("n"), F.sum("up").alias("up"), F.min_by("up", "us").alias("up0"),
+    moves = {"up": F.when(now < before, now).otherwise(now - before), "moved": (before.isNotNull() & (now != before)).cast("long")}
+    buckets = rows.withColumns(moves | {"us": us, "ends": ends}).groupBy("metric", "series", "ends").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("up").alias("up"), F.min_by("up", "us").alias("up0"),
         F.sum("moved").alias("moved"), F.min_by("moved", "us").alias("moved0"), F.min("us").alias("from"), F.max("us").alias("to"), F.max_by("value", "us").alias("last"),
     )
-    held = buckets.withColumn("t", F.explode(F.sequence(F.col("ends"), F.col("ends") + F.col("range_s") - step_s, F.lit(step_s).cast("long"))))
-    inside = held.groupBy(*by, "t").agg(
-        F.first("labels").alias("labels"), F.sum("n").alias("n"), (F.sum("up") - F.coalesce(F.min_by("up0", "from"), F.lit(0.0))).alias("up"),
+    labels = F.from_json("series", samples.schema["labels"].dataType)
+    matched = buckets.join(F.broadcast(rules.select("alert", "metric", "matchers", "func", "range_s", "sum_by")), "metric").where(_matches(labels, F.col("matchers")))
+    held = matched.withColumn("t", F.explode(F.sequence(F.col("ends"), F.col("ends") + F.col("range_s") - step_s, F.lit(step_s).cast("long"))))
+    inside = held.groupBy("alert", "func", "range_s", "sum_by", "series", "t").agg(
+        F.sum("n").alias("n"), (F.sum("up") - F.coalesce(F.min_by("up0", "from"), F.lit(0.0))).alias("up"),
         (F.sum("moved") - F.min_by("moved0", "from")).alias("moved"), (F.max("to") - F.min("from")).alias("span"), F.max_by("last", "to").alias("last"),
-    )
+    ).withColumn("labels", labels)
     two = (F.col("n") >= 2) & (F.col("span") > 0)
     value = (
         F.when(F.col("func") == "last", F.col("last")).when(F.col("func") == "changes", F.col("moved").cast("double"))
@@ -87,7 +90,7 @@ def transitions(samples: DataFrame, rules: DataFrame, step_s: int = 60, *, until
     The text of a transition shows the value at that instant, or at the last breach once it is over.
     """
     plain = rules.select("alert", "above", "below", "wait_s", "severity", "summary")
-    found = values(samples, rules, step_s, times).join(plain, "alert")
+    found = values(samples, rules, step_s, times).join(F.broadcast(plain), "alert")
     out = found.where((F.col("value") > F.col("above")) | (F.col("value") < F.col("below"))).withColumn("series", series.series_key())
     moves = series.alert_states(out.select("alert", "series", "wait_s", "t"), ["alert", "series", "wait_s"], step_s, F.col("wait_s"), until=until)
     at = F.when(F.col("state") == "resolved", F.col("at") - step_s).otherwise(F.col("at"))

@@ -73,6 +73,19 @@ def test_another_rule_adds_no_scan(spark, tmp_path):
     assert count[0] == count[1] > 0
 
 
+def test_samples_of_one_metric_do_not_meet_in_one_task(spark):
+    hint = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = samples(spark, [(60 * i, "m", {"a": str(i % 3), "b": None}, i) for i in range(50)])
+        found = rules.values(df, spark.createDataFrame([rule("r", "m", "changes", range_s=600, above=0.0)], rules.RULES), 60)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(metric#" in plan and not [x for x in plan.splitlines() if "hashpartitioning(metric#" in x and "series#" not in x]
+        assert {tuple(sorted(r.labels.items(), key=str)) for r in found.collect()} == {(("a", str(i)), ("b", None)) for i in range(3)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hint)
+
+
 def test_profiles_of_dates_add_up(spark):
     rnd = random.Random(6)
     rows = [(f"2024-01-{1 + i % 20:02d}", rnd.choice([None, float("nan"), rnd.gauss(i % 20 / 5, 1), 3.0]), float(rnd.randint(0, 4)), rnd.choice([None, "p", "q", "r"])) for i in range(2000)]
