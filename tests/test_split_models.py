@@ -1,10 +1,11 @@
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import model, prep, split
+from plumbline.operators import logistic, model, prep, split
 
 
 @pytest.fixture(scope="module")
@@ -185,3 +186,36 @@ def test_report_names_the_threshold_that_scores(spark, labelled, tmp_path):
     sweep = metrics.threshold_sweep(scored, label, "probability").collect()
     assert read.optimal_threshold == min(sweep, key=lambda r: (r.cost, r.threshold)).threshold != 0.5
     assert read.passes_threshold == (read.test_auc >= read.auc_threshold)
+
+
+def test_trials_fitted_side_by_side_end_where_single_fits_end(spark):
+    rnd = random.Random(11)
+    rows = [(round(rnd.gauss(0, 1), 1), round(rnd.gauss(0, 2), 1)) for _ in range(600)]
+    df = spark.createDataFrame([(a, b, int(a - b / 2 + rnd.gauss(0, 1) > 1)) for a, b in rows], "a double, b double, y int")
+    weights, _ = model.class_weights(df, "y")
+    cs = [1e-4, 0.01, 1.0, 10.0]
+    counted = df.groupBy("a", "b", "y").count()
+    found = logistic.fit_all(counted, ["a", "b"], "y", [logistic.Fit(c, weights) for c in cs], times="count")
+    for c, got in zip(cs, found):
+        one = model.fit_logistic(df, ["a", "b"], "y", c)
+        assert got.tolist() == pytest.approx([*one.coefficients, one.intercept], abs=1e-4)
+    trials, best = model.search(df, df, "logistic_regression", ["a", "b"], "y", trials=3)
+    for r in trials.collect():
+        one = model.evaluate(df, model.fit_logistic(df, ["a", "b"], "y", r.params["c"]), ["a", "b"], "y").first()
+        assert (r.val_auc, r.val_ks) == pytest.approx((one.auc, one.ks), abs=2e-4)
+        assert not r.best or best == r.params
+
+
+def test_the_number_of_passes_of_a_search_does_not_follow_its_trials(spark):
+    df = spark.createDataFrame([(float(i % 13), float(i % 7), int(i % 5 == 0)) for i in range(400)], "a double, b double, y int")
+    passes = []
+    plain = logistic.sums
+    try:
+        logistic.sums = lambda *a: passes.append(len(a[3])) or plain(*a)
+        model.search(df, df, "logistic_regression", ["a", "b"], "y", trials=12)
+    finally:
+        logistic.sums = plain
+    assert passes[0] == 12 and len(passes) < 12
+    holes = spark.createDataFrame([(1.0, None, 0), (2.0, 1.0, 1)], "a double, b double, y int")
+    with pytest.raises(Exception, match="is missing"):
+        model.search(holes, holes, "logistic_regression", ["a", "b"], "y", trials=2)
