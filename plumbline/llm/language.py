@@ -40,8 +40,10 @@ ROUNDS = 3
 SMOOTHING = 0.1
 REMEMBERED = 400_000
 COUNTED = 200_000
+GATHERED = 4_000_000
 CELLS = 4_000_000
 RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+LETTERS = bytes(i if regex.fullmatch(r"\p{L}", chr(i)) else 32 for i in range(256))
 PIECE = regex.compile(f"{MARK}?[\\p{{L}}\\p{{M}}]*")
 BASE = 0x9E3779B97F4A7C15
 WRAP = 1 << 64
@@ -63,37 +65,44 @@ def vocabulary(path: str) -> list[str]:
 def runs_of(text: str | None) -> list[str]:
     if not isinstance(text, str):
         return []
-    found = RUN.findall(text.lower())
+    text = text.lower()
+    try:  # one byte a character, none of them a mark: other bytes than letters become blanks
+        found = text.encode("latin-1").translate(LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        found = RUN.findall(text)
     if max(map(len, found), default=0) <= STRETCH:
         return found
     return [w[i : i + STRETCH] for w in found for i in range(0, len(w), STRETCH)]
 
 
+#: Start and end in the runs, places of the words that hold a piece there, and its id.
+Arc = tuple[int, int, np.ndarray, np.ndarray]
+
+
 class Lattice:
-    """Which pieces stand where in runs: a hash table of the pieces, probed for all places at once."""
+    """Which pieces stand where in runs: a hash table of the pieces and their beginnings, probed for all
+    words at once. Where what was read begins no piece, no longer piece can follow, and the word drops out."""
 
     def __init__(self, pieces: list[str]):
         self.longest = max(map(len, pieces))
         self.other, self.none = len(pieces), len(pieces) + 1
-        self.power = self._powers(BASE, STRETCH + 2)
-        self.slots = 1 << (4 * len(pieces) - 1).bit_length()
+        self.begun = len(pieces) + 2
+        known: dict[int, int] = {}
+        for i, piece in enumerate(pieces):
+            key = 0
+            for c in piece:
+                key = (key * BASE + ord(c)) % WRAP
+                known.setdefault(key, self.begun)
+            known[key] = i
+        self.slots = 1 << (4 * len(known) - 1).bit_length()
         self.keys = np.zeros(self.slots, np.uint64)
         self.ids = np.full(self.slots, self.none, np.int32)
-        for i, piece in enumerate(pieces):
-            key = self._hash(np.array([[ord(c) for c in piece]], np.uint64))[0]
-            at = int(self._slot(np.array([key]))[0])
+        places = self._slot(np.fromiter(known, np.uint64, len(known))).tolist()
+        for at, (key, i) in zip(places, known.items()):
             while self.ids[at] != self.none:
                 at = (at + 1) % self.slots
             self.keys[at], self.ids[at] = key, i
 
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        return np.array([pow(base, i, WRAP) for i in range(n)], np.uint64)
-
-    def _hash(self, codes: np.ndarray) -> np.ndarray:
-        length = codes.shape[1]
-        return (codes * self.power[length - 1 :: -1][:length]).sum(1, dtype=np.uint64)
-
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys) & np.uint64(self.slots - 1)).astype(np.int64)
 
@@ -107,20 +116,25 @@ class Lattice:
             again = again[(out[again] != self.none) & (self.keys[at[again]] != keys[again])]
         return out
 
-    def pieces(self, words: list[str]) -> list[tuple[int, int, np.ndarray]]:
-        """(start, end, piece ids of words), for words of one length."""
+    def pieces(self, words: list[str]) -> list[Arc]:
+        """(start, end, places of words, their piece ids), for words of one length, in order of start."""
         n, length = len(words), len(words[0]) + 1
-        codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).astype(np.uint64)
+        codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T.astype(np.uint64)
         arcs = []
         for start in range(length):
-            key = np.zeros(n, np.uint64)
+            alive, key = np.arange(n), np.zeros(n, np.uint64)
             for end in range(start + 1, min(length, start + self.longest) + 1):
-                key = key * np.uint64(BASE) + codes[:, end - 1]
+                key = key * np.uint64(BASE) + codes[end - 1][alive]
                 ids = self.find(key)
+                whole = ids < self.other
                 if end == start + 1:
-                    ids = np.where(ids == self.none, self.other, ids)
-                if (ids != self.none).any():
-                    arcs.append((start, end, ids))
+                    arcs.append((start, end, alive, np.where(whole, ids, self.other)))
+                elif whole.any():
+                    arcs.append((start, end, alive[whole], ids[whole]))
+                more = ids != self.none
+                alive, key = alive[more], key[more]
+                if not len(alive):
+                    break
         return arcs
 
 
@@ -135,20 +149,23 @@ def by_length(words: list[str], languages: int) -> Iterator[np.ndarray]:
                 yield part[i : i + most]
 
 
-def forward(arcs: list[tuple[int, int, np.ndarray]], chance: np.ndarray, n: int, length: int) -> np.ndarray:
+def forward(arcs: list[Arc], chance: np.ndarray, n: int, length: int) -> np.ndarray:
     """(place, word, language): the sum over all segmentations of what stands before the place."""
     alpha = np.zeros((length + 1, n, chance.shape[1]))
     alpha[0] = 1
-    for start, end, ids in arcs:  # in order of start, so alpha[start] is complete
-        alpha[end] += alpha[start] * chance[ids]
+    for start, end, at, ids in arcs:  # in order of start, so alpha[start] is complete
+        if len(at) == n:
+            alpha[end] += alpha[start] * chance[ids]
+        else:
+            alpha[end, at] += alpha[start, at] * chance[ids]
     return alpha
 
 
-def backward(arcs: list[tuple[int, int, np.ndarray]], chance: np.ndarray, n: int, length: int) -> np.ndarray:
+def backward(arcs: list[Arc], chance: np.ndarray, n: int, length: int) -> np.ndarray:
     beta = np.zeros((length + 1, n, chance.shape[1]))
     beta[length] = 1
-    for start, end, ids in reversed(arcs):
-        beta[start] += beta[end] * chance[ids]
+    for start, end, at, ids in reversed(arcs):
+        beta[start, at] += beta[end, at] * chance[ids]
     return beta
 
 
@@ -172,13 +189,15 @@ class Scorer:
         self.logs = np.empty((0, len(model.languages)))
 
     def learn(self, words: list[str]) -> None:
-        logs = np.empty((len(words), len(self.model.languages)))
+        first = len(self.known)
+        if len(self.logs) < first + len(words):  # room for as many again
+            self.logs = np.concatenate([self.logs[:first], np.empty((first + 2 * len(words), len(self.model.languages)))])
+        logs = self.logs[first : first + len(words)]
         for part in by_length(words, logs.shape[1]):
             own = [words[i] for i in part.tolist()]
             length = len(own[0]) + 1
             logs[part] = np.log(forward(self.lattice.pieces(own), self.model.chance, len(own), length)[length])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.logs = np.concatenate([self.logs, logs])
+        self.known.update(zip(words, range(first, first + len(words))))
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """Posterior by text and language; a row of zeros for a text without runs."""
@@ -249,8 +268,8 @@ def expected(words: DataFrame, pieces: list[str], languages: list[str], chance:
                     arcs = lattice.pieces(some)
                     alpha, beta = forward(arcs, own, n, length)[:, :, 0], backward(arcs, own, n, length)[:, :, 0]
                     weight = times[part] / alpha[length]
-                    for start, end, ids in arcs:
-                        total[at] += np.bincount(ids, weight * alpha[start] * own[ids, 0] * beta[end], total.shape[1])
+                    for start, end, held, ids in arcs:
+                        total[at] += np.bincount(ids, weight[held] * alpha[start, held] * own[ids, 0] * beta[end, held], total.shape[1])
         a, p = np.nonzero(total)
         yield pd.DataFrame({"a": a, "p": p, "e": total[a, p]})
 
@@ -282,17 +301,32 @@ def train(docs: DataFrame, path: str, rounds: int = ROUNDS, smoothing: float = S
     return Model(uuid.uuid4().hex, pieces, languages, prior, chance)
 
 
+def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of batches in larger frames, of GATHERED characters at least but the last: new runs of many texts are
+    looked up together, which costs little more than those of one."""
+    held: list[pd.DataFrame] = []
+    total = 0
+    for batch in batches:
+        for frame in slices(batch, "text"):
+            held.append(frame)
+            total += int(frame["text"].str.len().fillna(0).sum()) + len(frame)
+            if total >= GATHERED:
+                yield pd.concat(held, ignore_index=True)
+                held, total = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = scorer(model)
         names = np.array([*model.languages, UNKNOWN], object)
-        for batch in batches:
-            for frame in slices(batch, "text"):
-                odds = np.hstack([score(frame["text"].tolist()), np.zeros((len(frame), 1))])
-                best = np.where(odds.sum(1) > 0, odds.argmax(1), len(names) - 1)
-                yield pd.DataFrame({"doc_id": frame["doc_id"], "lang_pred": names[best], "score": odds.max(1)})
+        for frame in gathered(batches):
+            odds = np.hstack([score(frame["text"].tolist()), np.zeros((len(frame), 1))])
+            best = np.where(odds.sum(1) > 0, odds.argmax(1), len(names) - 1)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "lang_pred": names[best], "score": odds.max(1)})
 
     ready(docs.sparkSession)
     out = docs.select(numbered(), "text").mapInPandas(run, "doc_id long, lang_pred string, score double")

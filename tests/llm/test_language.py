@@ -2,6 +2,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -97,3 +98,18 @@ def test_odd_texts_and_clashing_columns(spark):
     assert len(got) == len(rows)
     assert [by[i]["lang_pred"] for i in (10, 11, 12)] == ["und"] * 3
     assert by[13]["lang_pred"] == "en" and by[None]["held_out"] is False and by[21]["lang_pred"] == "fr"
+
+
+def test_a_word_drops_out_where_no_piece_goes_on():
+    lattice = language.Lattice(["a", "ab", "abcd", "c", language.MARK])
+    found = {(start, end): dict(zip(at.tolist(), ids.tolist())) for start, end, at, ids in lattice.pieces(["abcd", "abce", "zzzz"])}
+    assert found[1, 3] == {0: 1, 1: 1} and found[1, 5] == {0: 2} and (1, 4) not in found
+    assert found[1, 2] == {0: 0, 1: 0, 2: lattice.other} and found[3, 4] == {0: 3, 1: 3, 2: lattice.other}
+
+
+def test_runs_of_one_byte_texts_are_those_of_the_pattern():
+    every = "".join(map(chr, range(0x3000)))
+    for text in (every, every[:256], "Größe ª½²µ _x1Y", "áb ́c İ"):
+        want = [w[i : i + language.STRETCH] for w in language.RUN.findall(text.lower()) for i in range(0, len(w), language.STRETCH)]
+        assert language.runs_of(text) == want
+    assert [len(f) for f in language.gathered(iter([pd.DataFrame({"text": ["a" * language.GATHERED, None]}), pd.DataFrame({"text": ["b", ""]})]))] == [2, 2]
