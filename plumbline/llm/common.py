@@ -15,6 +15,8 @@ from plumbline.session import prepare, shared_dir
 NONE = -(2**63)
 BATCH_ROWS = 256
 BATCH_CHARS = 2_000_000
+#: Edges that a task makes stars of at a time.
+EDGES = 500_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -100,21 +102,58 @@ def across(run: dict[str, np.ndarray], rest: np.ndarray, at: int) -> np.ndarray
     return True if run["low"][0] == run["high"][0] else run["part"][rest] != run["part"][at]
 
 
-def checksum(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
+def stars(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """(u, v): every id that the given edges link to a smaller one, with the smallest id they link it to."""
+    ids, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = places.reshape(2, -1)
+    root = np.arange(len(ids))
+    while True:
+        new, low = root.copy(), np.minimum(root[x], root[y])
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    least = ids[root]
+    return pd.DataFrame({"u": ids[ids != least], "v": least[ids != least]})
+
+
+def contracted(pairs: DataFrame) -> DataFrame:
+    """Edges (u, v) with the same components: those that lie together in a task, EDGES at a time, become stars."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows >= EDGES:
+                yield stars(*(np.concatenate([h[c] for h in held]) for c in ("u", "v")))
+                held, rows = [], 0
+        if held:
+            yield stars(*(np.concatenate([h[c] for h in held]) for c in ("u", "v")))
+
+    return pairs.mapInPandas(run, "u long, v long").distinct()
+
+
+def settled(edges: DataFrame) -> bool:
+    """Whether edges (u, v), u above v, are stars: no u has two v, and none is a v. Then v is the smallest id reachable."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "links") -> DataFrame:
     """(id, component) of every id in an edge, component being the smallest id reachable.
 
-    Large-star and small-star rounds until nothing changes; each round is a grouped minimum with
-    partial aggregation and one join that adaptive execution may split, and is written out.
-    Edges with a null end, and loops, are left out.
+    Edges that lie in one task are first made stars there, which leaves few rounds. Then large-star and
+    small-star rounds until all is stars; each round is a grouped minimum with partial aggregation and one
+    join that adaptive execution may split, and is written out. Edges with a null end, and loops, are left out.
     """
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    now = saved(pairs.distinct(), name)
-    seen = checksum(now)
-    while seen[0]:
+    pairs = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    now = saved(contracted(pairs), name)
+    while not settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -122,7 +161,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "links"
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(root, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = saved(rest.unionByName(root.withColumnRenamed("m", "v")).distinct(), name)
-        was, seen = seen, checksum(now)
-        if seen == was:
-            break
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

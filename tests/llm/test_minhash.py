@@ -131,3 +131,18 @@ def test_leaders_lose_no_link_between_parts(documents, monkeypatch):
     rows = [(5, texts[0]), (5, texts[1]), *[(10 + i, t) for i, t in enumerate(texts[2:40])]]
     out = minhash.near(documents(rows), 85).collect()
     assert len(out) == len(rows) and all(r["component_id"] <= r["doc_id"] for r in out)
+
+
+def test_components_of_edges_in_one_task_need_no_round(spark, monkeypatch):
+    from plumbline.llm import common
+
+    written = []
+    monkeypatch.setattr(common, "saved", lambda df, name, plain=common.saved: written.append(name) or plain(df, name))
+    chain = [(i, i + 1) for i in range(200)] + [(1000, 999), (5000, 4000), (4000, 4000), (None, 3)]
+    want = {i: 0 for i in range(201)} | {999: 999, 1000: 999, 4000: 4000, 5000: 4000}
+    for parts, most in ((1, 1), (7, 30)):
+        edges = spark.createDataFrame(chain, "a long, b long").repartition(parts)
+        written.clear()
+        assert {r.id: r.component for r in common.components(edges).collect()} == want
+        assert len(written) <= most
+    assert common.stars(np.array([9, 7, 5, 1]), np.array([7, 5, 3, 2])).values.tolist() == [[2, 1], [5, 3], [7, 3], [9, 3]]
