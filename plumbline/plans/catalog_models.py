@@ -17,7 +17,7 @@ FEATURES_USED = NUMBERS
 
 
 def train_and_rest(spark, sf_dir):
-    df = split_lines(spark, sf_dir)
+    df = written(split_lines(spark, sf_dir).select(*LINE_KEY, "y", "split", *NUMBERS), "splits")
     return df.where(F.col("split") == "train"), df.where(F.col("split") != "train")
 
 
