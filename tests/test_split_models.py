@@ -219,3 +219,12 @@ def test_the_number_of_passes_of_a_search_does_not_follow_its_trials(spark):
     holes = spark.createDataFrame([(1.0, None, 0), (2.0, 1.0, 1)], "a double, b double, y int")
     with pytest.raises(Exception, match="is missing"):
         model.search(holes, holes, "logistic_regression", ["a", "b"], "y", trials=2)
+
+
+def test_the_rows_of_permutation_importance_are_placed_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 13), float(i % 7), int(i % 5 == 0)) for i in range(300)], "row_id long, a double, b double, y int")
+    places = []
+    monkeypatch.setattr(model, "shared_dir", lambda s, name, plain=model.shared_dir: places.append(name) or plain(s, name))
+    out = model.permutation_importance(df, model.fit_logistic(df, ["a", "b"], "y"), ["a", "b"], "y", "row_id")
+    assert places == ["placed"] and "Subquery" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.feature for r in out.collect()} == {"a", "b"}
