@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import schema as S
-from plumbline.operators import boosting, model, prep
+from plumbline.operators import model, prep, trees
 from plumbline.plans.catalog_metrics import psi_sql
 from plumbline.plans.catalog_profile import split_lines
 from plumbline.plans.registry import LINE_KEY, LINES_SQL, NUMBERS, SCORED_SQL, lines, query, scored, table, written
@@ -14,6 +14,7 @@ from plumbline.session import shared_dir
 from plumbline.sources import files
 
 FEATURES_USED = NUMBERS
+SPLITS = ["train", "val", "test"]
 
 
 def train_and_rest(spark, sf_dir):
@@ -49,9 +50,10 @@ def boosted_trees(spark, sf_dir):
 
 @query("T2")
 def random_forest(spark, sf_dir):
-    data = matrices(spark, sf_dir)
-    fitted = model.fit_forest(part(data, "train"), FEATURES_USED, "y")
-    return model.evaluate(data, fitted, FEATURES_USED, "y", ["split"])
+    """Quality per split of 100 trees grown side by side over binned rows."""
+    cells = trees.cells(matrices(spark, sf_dir), FEATURES_USED, "y", "split", SPLITS, model.POSITIVE_WEIGHT)
+    (fitted,) = trees.forests(cells, [trees.Fit("random_forest", 100)])
+    return trees.quality(cells, {0: fitted}, SPLITS).withColumnRenamed("part", "split").drop("model")
 
 
 @query(
@@ -99,10 +101,10 @@ def forest_search(spark, sf_dir):
 @query("T4")
 def boosting_rounds(spark, sf_dir):
     """Loss and quality on the validation rows after every tenth round of one fit."""
-    data = matrices(spark, sf_dir)
-    trees = boosting.staged(model.fit_boosted(part(data, "train"), FEATURES_USED, "y", rounds=60), FEATURES_USED)
-    losses = boosting.prefix_losses(part(data, "val"), trees, "y", model.POSITIVE_WEIGHT)
-    quality = boosting.prefix_quality(part(data, "val"), trees, "y", range(10, 61, 10))
+    cells = trees.cells(matrices(spark, sf_dir), FEATURES_USED, "y", "split", ["train", "val"], model.POSITIVE_WEIGHT)
+    (fitted,) = trees.boosted(cells, [trees.Fit("boosted_trees", 60, feature_share=0.8)], patience=None)
+    quality = trees.quality(cells, {n: fitted.cut(n) for n in range(10, 61, 10)}, ["val"]).withColumnRenamed("model", "rounds").drop("part")
+    losses = spark.createDataFrame([*enumerate(fitted.losses, 1)], "rounds int, loss double")  # a row per round
     return quality.join(losses.withColumn("loss", F.round("loss", 6)), "rounds")
 
 
