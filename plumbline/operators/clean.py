@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline import schema as S
 from plumbline.functions import columns as C
+from plumbline.sources import files
 
 
 def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -31,7 +32,16 @@ def missing_names(df: DataFrame, expected: Sequence[str]) -> list[str]:
     return [c for c in expected if c not in have]
 
 
+#: Bytes of the files read whose distinct rows one task holds.
+DEDUP_BYTES = 32 << 20
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
+    """Whole rows once. As many tasks hold the rows as the files read ask for, where that is more than the session's."""
+    if not df.isStreaming:
+        parts = -(-files.input_bytes(df) // DEDUP_BYTES)
+        if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            df = df.repartition(parts, *[F.col(f"`{c}`") for c in df.columns])
     return df.dropDuplicates()
 
 

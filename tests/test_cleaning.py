@@ -206,3 +206,18 @@ def test_pages_list_only_folders_that_can_hold_them(spark, tmp_path):
     assert objects.objects_page(spark, root, "c", ["d"]).isEmpty() and objects.objects_page(spark, root, "nothing").isEmpty()
     assert [r.container for r in objects.containers_page(spark, root, (), "c").collect()] == ["d"]
     assert [r.container for r in objects.containers_page(spark, root, ["c", "x"]).collect()] == ["c"]
+
+
+def test_dedup_follows_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    """More text is held by more tasks than the session's shuffle has, with the same rows; small text as before."""
+    rows = [(str(i % 700), "x" * 50, None if i % 3 else "NA") for i in range(4000)]
+    folder = str(tmp_path / "two words")
+    spark.createDataFrame(rows, "a string, `b.c` string, d string").write.option("header", True).csv(folder)
+    text = files.read_csv(spark, folder)
+    size = sum(f.stat().st_size for f in (tmp_path / "two words").glob("*.csv"))
+    assert files.input_bytes(text) == size and files.input_bytes(spark.range(3)) == 0
+    before = clean.distinct_rows(text)
+    monkeypatch.setattr(clean, "DEDUP_BYTES", size // 20)
+    after = clean.distinct_rows(text)
+    assert after.rdd.getNumPartitions() >= 20 and before.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect())) and after.count() == 1400
