@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import logistic, model, prep, split
+from plumbline.operators import logistic, metrics, model, prep, split
 
 
 @pytest.fixture(scope="module")
@@ -228,3 +228,45 @@ def test_the_rows_of_permutation_importance_are_placed_once(spark, monkeypatch):
     out = model.permutation_importance(df, model.fit_logistic(df, ["a", "b"], "y"), ["a", "b"], "y", "row_id")
     assert places == ["placed"] and "Subquery" not in out._jdf.queryExecution().executedPlan().toString()
     assert {r.feature for r in out.collect()} == {"a", "b"}
+
+
+def test_fits_share_their_passes_until_the_first_ends(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(500)]
+    df = spark.createDataFrame([(a, b, int(2 * a - b + rnd.gauss(0, 1) > 0)) for a, b in rows], "a double, b double, y int").coalesce(2)
+    points, plain = [], logistic.sums
+    monkeypatch.setattr(logistic, "sums", lambda *a: points.append(len(np.unique(a[2], axis=0))) or plain(*a))
+    weights, _ = model.class_weights(df, "y")
+    logistic.fit_all(df, ["a", "b"], "y", [logistic.Fit(c, weights) for c in (0.1, 1.0, 10.0)])
+    assert points[:5] == [1] * 5 and points[-1] <= 2
+
+
+def test_trials_are_scored_by_arrays_that_are_cut_alike_in_all_tasks(spark, monkeypatch):
+    """Quality as by single evaluation, with ties within and across tasks; no shuffled row per score and trial."""
+    rnd = random.Random(3)
+    rows = [(round(rnd.gauss(0, 1), 1), rnd.choice([0.0, 0.0, 0.5])) for _ in range(1500)]
+    values = [(a, b, None if i % 50 == 0 else int(a + b + rnd.gauss(0, 1) > 1)) for i, (a, b) in enumerate(rows)] + [(0.1, 0.0, 1)] * 400
+    df = spark.createDataFrame(values, "a double, b double, y int").repartition(3)
+    fitted = np.array([[1.0, 2.0, -0.5], [-0.3, 0.1, 0.0], [800.0, 0.0, 0.0], [0.0, 0.0, 0.2]])
+    monkeypatch.setattr(logistic, "SKETCH", 64)
+    for size in (300, 10**6):
+        monkeypatch.setattr(logistic, "RANGE_ROWS", size)
+        got = {r.fit: (r.auc, r.ks) for r in logistic.quality(df, ["a", "b"], "y", fitted).collect()}
+        assert len(got) == len(fitted)
+        for i, (a, b, c) in enumerate(fitted.tolist()):
+            scored = df.select("y", (1 / (1 + F.exp(-(F.lit(c) + F.lit(a) * F.col("a") + F.lit(b) * F.col("b"))))).alias("p"))
+            one = metrics.metric_bundle(scored, "y", "p").first()
+            assert got[i] == (one.auc, one.ks)
+    monkeypatch.setattr(logistic, "RANGE_ROWS", 300)
+    made, plain = [], type(df).groupBy
+    monkeypatch.setattr(type(df), "groupBy", lambda self, *by: made.append((by, self)) or plain(self, *by))
+    logistic.quality(df, ["a", "b"], "y", fitted)
+    (cuts,) = [d for by, d in made if by == ("fit", "range")]
+    assert cuts.count() < 3 * 2 * 7 * len(fitted) + 1  # tasks, classes and ranges, not scores
+    assert logistic.quality(df.where("y = 1"), ["a", "b"], "y", fitted).first().auc is None
+
+
+def test_cuts_are_found_without_a_shuffle_of_the_keys(spark):
+    df = spark.range(300).selectExpr("id", "cast(id % 3 = 0 as int) y")
+    plan = split._cuts(df, F.struct("y"), ["id"], split.hash_order(["id"], 1), {"__end": F.col("__n") - 7})
+    assert "ResolvedHint (strategy=broadcast)" in plan._jdf.queryExecution().analyzed().toString()
